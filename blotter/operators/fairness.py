@@ -88,81 +88,86 @@ def value_counts(df: DataFrame, group: str, value: Column) -> DataFrame:
     )
 
 
+def _bin(bins: int) -> Column:
+    """Bin number that never falls as the value rises, from value, lo and hi.
+
+    It adds an even bin between ``lo`` and ``hi`` to a bin of the sign and
+    logarithm of the value. The second keeps the many values near zero apart
+    where a few large ones stretch the range. Only the exact extremes enter,
+    so a recomputed task places every value as before.
+    """
+    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    largest = F.greatest(F.abs(lo), F.abs(hi))
+    even = F.floor((value - lo) / (hi - lo) * bins)
+    steps = F.floor(F.signum(value) * F.log1p(F.abs(value) / largest * 1e6) * (bins / 28))
+    return F.when(hi > lo, even + steps).otherwise(0).cast("int")
+
+
 def exact_quantiles(
     counts: DataFrame, probs: Sequence[float], bins: int = 1024, group: str = "key"
 ) -> DataFrame:
     """Exact interpolated quantiles of weighted values, for groups of any size.
 
-    ``counts`` holds (key, value, n), as ``value_counts`` gives it. Values fall into equal bins between
-    the smallest and the largest of their group; the bin counts (at most
-    ``bins`` rows per group) tell which bin holds each wanted rank, and only
-    the values of those bins are sorted, each bin by itself. No group is ever
-    held or sorted by one task. One row per group: the key, ``min_value``,
+    ``counts`` holds (key, value, n), as ``value_counts`` gives it. Values fall
+    into ordered bins of their group (``_bin``); the bin counts, at most two
+    times ``bins`` rows per group, tell which bin holds each wanted rank, and
+    only the values of those bins are sorted, each bin by itself. No group is
+    ever held or sorted by one task. One row per group: the key, ``min_value``,
     ``max_value``, ``n`` and ``quantiles``, in the order of ``probs``.
     """
     ranges = counts.groupBy(group).agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("size")
     )
-    width = F.col("hi") - F.col("lo")
-    position = F.floor((F.col("value") - F.col("lo")) / width * bins).cast("int")
-    placed = counts.join(ranges.select(group, "lo", "hi"), group).select(
-        group,
-        "value",
-        "n",
-        F.when(width > 0, F.least(position, F.lit(bins - 1))).otherwise(0).alias("bin"),
-    )
+    of_group = [group, "lo", "hi", "size"]
+    placed = counts.join(ranges, group).withColumn("bin", _bin(bins))
 
-    in_order = Window.partitionBy(group).orderBy("bin")
-    histogram = (
-        placed.groupBy(group, "bin")
+    def wanted_between(first: str, last: str, ranks: Column) -> Column:
+        return F.filter(
+            ranks, lambda x: (x["rank"] >= F.col(first)) & (x["rank"] < F.col(last))
+        )
+
+    # Each quantile lies between two ranks (which may be the same).
+    targets = [
+        F.struct(F.lit(i).alias("i"), side(F.lit(float(p)) * (F.col("size") - 1)).alias("rank"))
+        for i, p in enumerate(probs)
+        for side in (F.floor, F.ceil)
+    ]
+    by_bin = Window.partitionBy(group).orderBy("bin")
+    marked = (
+        placed.groupBy(*of_group, "bin")
         .agg(F.sum("n").alias("bin_n"))
-        .withColumn("upto", F.sum("bin_n").over(in_order))
+        .withColumn("upto", F.sum("bin_n").over(by_bin))
         .withColumn("before", F.col("upto") - F.col("bin_n"))
-    )
-
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("size") - 1)).alias("at"))
-            for i, p in enumerate(probs)
-        ]
-    )
-    targets = ranges.select(group, F.inline(wanted)).select(
-        group,
-        "i",
-        F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank"),
-        F.col("at"),
-    )
-    hits = (
-        targets.join(histogram, group)
-        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
-        .select(group, "bin", "before", "i", "rank", "at")
+        .select(
+            group,
+            "bin",
+            "before",
+            wanted_between("before", "upto", F.array(*targets)).alias("ranks"),
+        )
+        .filter(F.size("ranks") > 0)
     )
 
     in_bin = Window.partitionBy(group, "bin").orderBy("value")
-    needed = hits.select(group, "bin", "before").distinct()
-    ranked = (
-        placed.join(needed, [group, "bin"])
+    found = (
+        placed.join(marked, [group, "bin"])
         .withColumn("last", F.col("before") + F.sum("n").over(in_bin))
         .withColumn("first", F.col("last") - F.col("n"))
-        .select(group, "bin", "value", "first", "last")
+        .select(*of_group, "value", F.inline(wanted_between("first", "last", F.col("ranks"))))
     )
-    found = (
-        hits.select(group, "bin", "i", "rank", "at")
-        .join(ranked, [group, "bin"])
-        .filter((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
-    )
-    part = F.max("at") - F.floor(F.max("at"))
-    low, high = F.min("value"), F.max("value")
-    each = found.groupBy(group, "i").agg((low + (high - low) * part).alias("q"))
-    listed = each.groupBy(group).agg(
-        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))]
-    )
-    return ranges.join(listed, group).select(
+
+    def quantile(i: int, p: float) -> Column:
+        mine = F.when(F.col("i") == i, F.col("value"))
+        at = F.lit(float(p)) * (F.col("size") - 1)
+        return F.min(mine) + (F.max(mine) - F.min(mine)) * (at - F.floor(at))
+
+    return found.groupBy(*of_group).agg(
+        F.array(*[quantile(i, p) for i, p in enumerate(probs)]).alias("quantiles")
+    ).select(
         group,
         F.col("lo").alias("min_value"),
         F.col("hi").alias("max_value"),
         F.col("size").alias("n"),
-        F.array(*[F.col(f"q{i}") for i in range(len(probs))]).alias("quantiles"),
+        "quantiles",
     )
 
 

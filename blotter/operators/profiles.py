@@ -168,9 +168,10 @@ def profile_of_tally(
     *,
     complement: bool = False,
     since: int | None = None,
+    drop_null_bucket: bool = True,
 ) -> DataFrame:
     """The profile ``count_by_period`` gives, summed from a tally."""
-    rows = tally.filter(F.col(period).isNotNull())
+    rows = tally.filter(F.col(period).isNotNull()) if drop_null_bucket else tally
     if since is not None:
         rows = rows.filter(F.col("year") >= since)
     hits = F.sum(f"{flag}_n")
