@@ -40,7 +40,11 @@ def read_incidents_csv(
     if corrupt_column:
         if schema is None or corrupt_column not in schema.fieldNames():
             raise ValueError("corrupt_column needs a schema that holds it")
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        # A pruned reader counts only the fields it needs, and so would take a
+        # short row for a complete one.
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option(
+            "columnPruning", False
+        )
     return reader.csv(path)
 
 

@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from blotter.operators import eras, places
+from blotter.roles import Era
+
+YEARS = (2017, 2018, 2019)
+
+
+def incidents(spark, counts):
+    """Incidents from {unit: {year: count}}."""
+    rows = [
+        (dt.datetime(year, 6, 1), unit, int(unit[:2]), f"B{unit}")
+        for unit, years in counts.items()
+        for year, n in years.items()
+        for _ in range(n)
+    ]
+    return spark.createDataFrame(rows, "ts timestamp_ntz, unit string, district int, block string")
+
+
+def test_correlation_of_special_units(spark):
+    df = incidents(
+        spark,
+        {
+            "0111": {2017: 1, 2018: 2, 2019: 3},
+            "0112": {2017: 2, 2018: 4, 2019: 6},
+            "0113": {2017: 3, 2018: 2, 2019: 1},
+            "0114": {2017: 5, 2018: 5, 2019: 5},
+            "0115": {2019: 4, 2016: 9},
+            "0211": {2017: 1, 2018: 2, 2019: 4},
+            "0311": {2016: 7},
+            "0312": {2020: 7},
+        },
+    )
+    got = {(r.u1, r.u2): r.r for r in places.pairwise_corr(df, years=YEARS).collect()}
+    assert len(got) == 10
+    assert got["0111", "0112"] == pytest.approx(1)
+    assert got["0111", "0113"] == pytest.approx(-1)
+    assert got["0111", "0115"] == pytest.approx(np.corrcoef([1, 2, 3], [0, 0, 4])[0, 1])
+    assert [p for p, r in got.items() if r is None] == [
+        p for p in got if "0114" in p
+    ]
+    order = [r.r for r in places.pairwise_corr(df, years=YEARS).collect()]
+    strength = [abs(r) for r in order if r is not None]
+    assert strength == sorted(strength, reverse=True)
+    assert order[-4:] == [None] * 4
+
+
+@pytest.mark.parametrize("units_per_block", [1, 3, 1000])
+@pytest.mark.parametrize("same_prefix", [True, False])
+def test_every_pair_once_whatever_the_blocks(spark, units_per_block, same_prefix):
+    """One prefix holds most units; brute force gives the same pairs."""
+    rng = random.Random(7)
+    names = [f"01{i:02d}" for i in range(23)] + ["0211", "0212", "0311"]
+    counts = {u: {y: rng.randint(1, 6) for y in YEARS} for u in names}
+    got = places.pairwise_corr(
+        incidents(spark, counts), years=YEARS, same_prefix=same_prefix,
+        units_per_block=units_per_block,
+    ).collect()
+    vectors = {u: [counts[u][y] for y in YEARS] for u in names}
+    expected = {
+        (a, b): np.corrcoef(vectors[a], vectors[b])[0, 1]
+        for a, b in itertools.combinations(sorted(names), 2)
+        if not same_prefix or a[:2] == b[:2]
+    }
+    assert len(got) == len(expected) == len({(r.u1, r.u2) for r in got})
+    for row in got:
+        want = expected[row.u1, row.u2]
+        flat = len(set(vectors[row.u1])) == 1 or len(set(vectors[row.u2])) == 1
+        assert row.r is None if flat else row.r == pytest.approx(want)
+
+
+def test_matrix_counts_and_hotspots(spark):
+    df = incidents(
+        spark, {"0111": {2016: 3, 2017: 1, 2019: 2}, "0112": {2019: 3}, "0113": {2020: 3}}
+    )
+    matrix = {r.unit: tuple(r)[1:] for r in places.yearly_matrix(df, years=YEARS).collect()}
+    assert matrix == {"0111": (1, 0, 2), "0112": (0, 0, 3), "0113": (0, 0, 0)}
+    counted = {(r.unit, r.year): r.n for r in places.yearly_counts(df).collect()}
+    assert counted == {
+        ("0111", 2017): 1, ("0111", 2019): 2, ("0112", 2019): 3, ("0113", 2020): 3,
+    }
+    top = [tuple(r) for r in places.hotspots(df, top=2).collect()]
+    assert top == [("B0112", 3), ("B0113", 3)]
+
+
+def test_hotspots_leave_out_null_blocks(spark):
+    rows = [(dt.datetime(2019, 1, 1), None)] * 3 + [(dt.datetime(2019, 1, 1), "B")]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, block string")
+    assert [tuple(r) for r in places.hotspots(df).collect()] == [("B", 1)]
+
+
+def test_hierarchy(spark):
+    df = incidents(spark, {"0111": {2017: 2}, "0112": {2017: 3}, "0211": {2018: 4}})
+    got = {(r.district, r.unit, r.block): (r.n, r.level) for r in places.hierarchy_counts(df).collect()}
+    assert got[None, None, None] == (9, 0)
+    assert got[1, None, None] == (5, 1)
+    assert got[1, "0112", None] == (3, 2)
+    assert got[2, "0211", "B0211"] == (4, 3)
+    assert len(got) == 1 + 2 + 3 + 3
+
+
+ERAS = (Era("a", 2001, 2002), Era("b", 2003, 2005))
+
+
+def test_eras(spark):
+    df = incidents(
+        spark,
+        {
+            "0111": {2000: 9, 2001: 3, 2002: 1, 2003: 6, 2006: 9},
+            "0211": {2001: 4},
+            "0311": {2006: 5},
+        },
+    )
+    counts = {(r.district, r.era): r.n for r in eras.era_counts(df, "district", ERAS).collect()}
+    assert counts == {(1, "a"): 4, (1, "b"): 6, (2, "a"): 4}
+    means = eras.era_means(df, "district", ERAS)
+    assert {tuple(r) for r in means.collect()} == {(1, 2.0, 2.0), (2, 2.0, 0.0)}
+    own = eras.era_means(df, "district", (ERAS[0], Era("b", 2003, 2005, 8)))
+    assert {tuple(r) for r in own.collect()} == {(1, 2.0, 0.75), (2, 2.0, 0.0)}
+
+
+def test_paired_t(spark):
+    def t(rows):
+        return tuple(eras.paired_t(spark.createDataFrame(rows, "a double, b double"), "a", "b").first())
+
+    diffs = np.array([1.0, 2.0, 4.0])
+    n, mean, value = t([(3.0, 2.0), (5.0, 3.0), (9.0, 5.0)])
+    assert (n, mean) == (3, pytest.approx(diffs.mean()))
+    assert value == pytest.approx(diffs.mean() / (diffs.std(ddof=1) / 3**0.5))
+    assert t([(3.0, 2.0)]) == (1, 1.0, None)
+    assert t([(3.0, 2.0), (4.0, 3.0)]) == (2, 1.0, None)
