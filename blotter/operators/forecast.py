@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 CATEGORIES = ("unit", "year", "week")
 
+# Rows of training data that keep one task busy for a tree level.
+ROWS_PER_FIT_TASK = 20_000
+
 # Scalar inputs of the full forecast; with the three encoded categories, 19.
 FEATURES_FULL = (
     "total",
@@ -98,9 +102,26 @@ def forecast_pipeline(
     return Pipeline(stages=[category_indexer(categories), encoder, assembler, trees])
 
 
-def fit_forecast(train: DataFrame, **options) -> PipelineModel:
+def spread_for_fit(train: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Training rows in enough partitions to use the cores of the cluster.
+
+    A tree level computes far more per row than a shuffle read does, so the
+    few large partitions that AQE leaves of a panel would idle most cores.
+    Rows are placed by their keys: a lost task places them again the same way.
+    """
+    part = F.spark_partition_id().alias("part")
+    rows, parts = train.select(part).agg(F.count("*"), F.count_distinct("part")).first()
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    wanted = min(cores, math.ceil(rows / ROWS_PER_FIT_TASK))
+    return train.repartition(wanted, *keys) if wanted > parts else train
+
+
+def fit_forecast(
+    train: DataFrame, categories: Sequence[str] = CATEGORIES, **options
+) -> PipelineModel:
     """Fit the pipeline. ``train`` is read several times: pass it materialised."""
-    return forecast_pipeline(**options).fit(train)
+    pipeline = forecast_pipeline(categories=categories, **options)
+    return pipeline.fit(spread_for_fit(train, categories))
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

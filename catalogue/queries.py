@@ -29,8 +29,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 YEARS = tuple(range(1995, 2001))
 ERAS = (Era("early", 1995, 1998), Era("late", 1999, 2001))
 UNIT_DISTRICT = ("unit", "district")
-# Twenty trees keep the check short; the library's default is 100.
-CHECK_TREES = 20
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -325,7 +323,7 @@ def _by_district(inc: DataFrame) -> DataFrame:
 def gbt_forecast(spark, sf):
     p = panel.weekly_panel(_by_district(order_incidents(spark, sf)))
     split = panel.split_by_index(materialise(panel.features_full(p)))
-    model = forecast.fit_forecast(panel.train_part(split), max_iter=CHECK_TREES)
+    model = forecast.fit_forecast(panel.train_part(split))
     scored = forecast.predict(model, panel.test_part(split))
     return scored.select("unit", "year", "week", "label", "prediction")
 
@@ -334,10 +332,7 @@ def gbt_fairness(spark, sf):
     p = panel.weekly_panel(_by_district(order_incidents(spark, sf)), UNIT_DISTRICT)
     split = panel.split_by_index(materialise(fairness.add_band(panel.features_base(p))))
     model = forecast.fit_forecast(
-        panel.train_part(split),
-        features=forecast.FEATURES_BASE,
-        max_iter=CHECK_TREES,
-        invalid="skip",
+        panel.train_part(split), features=forecast.FEATURES_BASE, invalid="skip"
     )
     return fairness.fairness_by_group(forecast.predict(model, panel.test_part(split)), "band")
 

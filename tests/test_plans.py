@@ -109,6 +109,15 @@ def test_forecast_learns(spark, inc):
     assert forecast.regression_metrics(scored).first().r2 > 0.5
 
 
+def test_training_rows_are_spread_by_amount(spark, monkeypatch):
+    rows = spark.range(1000).select(F.col("id").alias("unit")).coalesce(1)
+    assert forecast.spread_for_fit(rows, ["unit"]) is rows
+    monkeypatch.setattr(forecast, "ROWS_PER_FIT_TASK", 200)
+    spread = forecast.spread_for_fit(rows, ["unit"])
+    assert spread.count() == 1000
+    assert spread.select(F.spark_partition_id()).distinct().count() == 5
+
+
 def test_fairness_audit(spark, inc, tmp_path):
     results = fairness_audit(
         inc, str(tmp_path / "out"), reweight=True, calibrate=True, max_iter=3
