@@ -15,12 +15,12 @@ def as_col(c: Column | str) -> Column:
 
 
 def parse_ts(c: Column | str, fmt: str = RAW_TS_FORMAT) -> Column:
-    """12-hour timestamp text to a timestamp; unreadable text gives null.
+    """12-hour timestamp text to a wall-clock timestamp; unreadable text gives null.
 
-    The session zone decides the instant; run in UTC so that no hour falls
-    into a daylight-saving gap.
+    Run in a UTC session: in other zones the hour that daylight saving skips
+    cannot be read as it is written.
     """
-    return F.try_to_timestamp(as_col(c), F.lit(fmt))
+    return F.try_to_timestamp(as_col(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def violent_flag(

@@ -41,9 +41,10 @@ def count_by_period(
     since: int | None = None,
     drop_null_bucket: bool = True,
     fill_buckets: bool = False,
+    ordered: bool = True,
     roles: Roles = ROLES,
 ) -> DataFrame:
-    """Rows per calendar bucket, in bucket order.
+    """Rows per calendar bucket, in bucket order unless ``ordered`` is off.
 
     Columns: the buckets, ``n``, then ``<flag>_n`` per 0/1 flag and, with
     ``complement``, ``non_<flag>_n``. ``where`` is a flag column or predicate.
@@ -62,7 +63,7 @@ def count_by_period(
     profile = rows.groupBy(*[bucket(p, roles.ts).alias(p) for p in names]).agg(*measures)
     if fill_buckets:
         profile = fill_profile(profile, names)
-    return profile.orderBy(*names)
+    return profile.orderBy(*names) if ordered else profile
 
 
 def fill_profile(profile: DataFrame, periods: str | Sequence[str]) -> DataFrame:
@@ -121,10 +122,13 @@ def share_by_period(
     flag: str,
     *,
     since: int | None = None,
+    ordered: bool = True,
     roles: Roles = ROLES,
 ) -> DataFrame:
     """``count_by_period`` plus the percentage of flagged rows per bucket."""
-    profile = count_by_period(df, periods, flags=[flag], since=since, roles=roles)
+    profile = count_by_period(
+        df, periods, flags=[flag], since=since, ordered=ordered, roles=roles
+    )
     return add_share_pct(profile, flag)
 
 
@@ -146,21 +150,39 @@ def calendar_tally(
     key: str | None = None,
     roles: Roles = ROLES,
 ) -> DataFrame:
-    """Counts per (year, month, weekday, hour) and, if given, ``key``.
+    """Counts by (year, month), by (weekday, hour) and, if given, by ``key``.
 
     One pass over the table from which every profile and the whole summary
-    can be summed up: at most 2,016 cells per year and key value, whatever
-    the number of incidents. Undated rows keep null buckets.
+    can be summed up. ``part`` (``date``, ``clock`` or ``key``) tells which of
+    the three a row counts. Grouping sets keep them apart: a map task hands on
+    some hundred cells (twelve per year, 168, one per key value), where their
+    product would be nearly as many cells as it has rows. Undated rows have
+    null buckets.
     """
-    keys = [bucket(p, roles.ts).alias(p) for p in ("year", "month", "dow", "hour")]
-    if key:
-        keys.append(F.col(key))
-    return df.groupBy(*keys).agg(
+    periods = ["year", "month", "dow", "hour"]
+    keys = periods + ([key] if key else [])
+    rows = df.select(
+        *[bucket(p, roles.ts).alias(p) for p in periods],
+        *([F.col(key)] if key else []),
+        F.col(flag).alias("_flag"),
+    )
+    sets = [["year", "month"], ["dow", "hour"]] + ([[key]] if key else [])
+    part = (
+        F.when(F.grouping("year") == 0, "date")
+        .when(F.grouping("hour") == 0, "clock")
+        .otherwise("key")
+    )
+    return rows.groupingSets(sets, *keys).agg(
+        part.alias("part"),
         F.count("*").alias("n"),
-        F.coalesce(F.sum(flag), F.lit(0)).alias(f"{flag}_n"),
+        F.coalesce(F.sum("_flag"), F.lit(0)).alias(f"{flag}_n"),
     )
 
 
+# The part of a tally that holds each period.
+TALLY_PART = {"year": "date", "month": "date", "dow": "clock", "hour": "clock"}
+
+
 def profile_of_tally(
     tally: DataFrame,
     period: str,
@@ -171,8 +193,12 @@ def profile_of_tally(
     drop_null_bucket: bool = True,
 ) -> DataFrame:
     """The profile ``count_by_period`` gives, summed from a tally."""
-    rows = tally.filter(F.col(period).isNotNull()) if drop_null_bucket else tally
+    rows = tally.filter(F.col("part") == TALLY_PART[period])
+    if drop_null_bucket:
+        rows = rows.filter(F.col(period).isNotNull())
     if since is not None:
+        if TALLY_PART[period] != "date":
+            raise ValueError("only the date part of a tally knows the year")
         rows = rows.filter(F.col("year") >= since)
     hits = F.sum(f"{flag}_n")
     measures = [F.sum("n").alias("n"), hits.alias(f"{flag}_n")]
@@ -183,7 +209,7 @@ def profile_of_tally(
 
 def counts_of_tally(tally: DataFrame, key: str, top: int | None = None) -> DataFrame:
     """Category counts summed from a tally."""
-    counts = tally.filter(known(key)).groupBy(key).agg(F.sum("n").alias("n"))
+    counts = tally.filter((F.col("part") == "key") & known(key)).select(key, "n")
     if top is not None:
         return top_k(counts, "n", top, ties=[key])
     return counts.orderBy(F.col("n").desc(), key)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.calendar import bucket, bucket_name
 from blotter.functions.cleaning import is_set, known, pct
-from blotter.operators.profiles import calendar_tally, count_by_period
+from blotter.operators.profiles import calendar_tally, count_by_period, share_by_period
 from blotter.roles import ROLES, Roles
 
 
@@ -47,19 +47,17 @@ def peak_buckets(
 ) -> DataFrame:
     """Busiest bucket of each period and its count, from one scan.
 
-    The table is first counted by all periods together, which leaves at most
-    a few thousand rows to split up by period.
+    Grouping sets count every period by itself, so a map task hands on one row
+    per bucket and not one per combination of buckets.
     """
-    cells = (
-        df.filter(F.col(roles.ts).isNotNull())
-        .groupBy(*[bucket(p, roles.ts).alias(p) for p in periods])
-        .agg(F.count("*").alias("n"))
-    )
-    pairs = F.array(*[F.struct(F.lit(p).alias("period"), F.col(p).alias("bucket")) for p in periods])
-    per_bucket = (
-        cells.select(F.inline(pairs), "n")
-        .groupBy("period", "bucket")
-        .agg(F.sum("n").alias("n"))
+    names = list(periods)
+    dated = df.filter(F.col(roles.ts).isNotNull())
+    rows = dated.select(*[bucket(p, roles.ts).alias(p) for p in names])
+    period = F.coalesce(*[F.when(F.grouping(p) == 0, p) for p in names])
+    per_bucket = rows.groupingSets([[p] for p in names], *names).agg(
+        period.alias("period"),
+        F.coalesce(*names).alias("bucket"),
+        F.count("*").alias("n"),
     )
     return per_bucket.groupBy("period").agg(
         _first_largest(F.col("bucket"), F.col("n")).alias("bucket"),
@@ -69,13 +67,8 @@ def peak_buckets(
 
 def share_extremes(df: DataFrame, period: str, flag: str, roles: Roles = ROLES) -> DataFrame:
     """One row: buckets of the highest and lowest flagged percentage."""
-    rows = df.filter(F.col(roles.ts).isNotNull())
-    shares = (
-        rows.groupBy(bucket(period, roles.ts).alias("b"))
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(flag), F.lit(0)).alias("hits"))
-        .select("b", pct("hits", "n").alias("share"))
-    )
-    b, share = F.col("b"), F.col("share")
+    shares = share_by_period(df, period, flag, ordered=False, roles=roles)
+    b, share = F.col(period), F.col(f"{flag}_pct")
     return shares.agg(
         _first_largest(b, share).alias(f"high_{period}"),
         F.max(share).alias("high_pct"),
@@ -97,7 +90,8 @@ def period_change(yearly: DataFrame, year: str = "year", n: str = "n") -> DataFr
 
 
 def yearly_change(df: DataFrame, since: int = 2001, roles: Roles = ROLES) -> DataFrame:
-    return period_change(count_by_period(df, "year", since=since, roles=roles))
+    yearly = count_by_period(df, "year", since=since, ordered=False, roles=roles)
+    return period_change(yearly)
 
 
 def top_share(df: DataFrame, key: str = ROLES.category) -> DataFrame:
@@ -130,8 +124,8 @@ def summary_of_tally(
 ) -> DataFrame:
     """``summary_report`` from a tally that carries the category.
 
-    Each cell is counted once per report line it feeds (all, month, hour,
-    weekday, year, category); the lines are then reduced to one row.
+    Each cell is summed into every report line it feeds (all, month and year;
+    hour and weekday; category); the lines are then reduced to one row.
     """
     hits = f"{flag}_n"
 
@@ -144,13 +138,14 @@ def summary_of_tally(
         )
 
     recent = F.when(F.col("year") >= since, F.col("year"))
-    lines = F.array(
-        line("all"),
-        line("month", F.col("month")),
-        line("hour", F.col("hour")),
-        line("dow", F.col("dow")),
-        line("year", recent),
-        line("category", text=F.col(roles.category)),
+    part = F.col("part")
+    lines = (
+        F.when(
+            part == "date",
+            F.array(line("all"), line("month", F.col("month")), line("year", recent)),
+        )
+        .when(part == "clock", F.array(line("hour", F.col("hour")), line("dow", F.col("dow"))))
+        .otherwise(F.array(line("category", text=F.col(roles.category))))
     )
     per_line = (
         tally.select(F.inline(lines), "n", hits)

@@ -103,7 +103,8 @@ def hourly_violent_pct(spark, sf):
 
 
 def hourly_violent_pct_mean(spark, sf):
-    shares = profiles.share_by_period(event_incidents(spark, sf), "hour", "violent")
+    inc = event_incidents(spark, sf)
+    shares = profiles.share_by_period(inc, "hour", "violent", ordered=False)
     return rounded(profiles.mean_share(shares, "violent"))
 
 
