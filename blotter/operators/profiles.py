@@ -53,39 +53,35 @@ def count_by_period(
     hours or weekdays with zeros.
     """
     names = _names(periods)
-    rows = _selected(df, where, since, drop_null_bucket, roles)
-    measures = [F.count("*").alias("n")]
+    rows = _selected(df, where, since, drop_null_bucket, roles).select(
+        *[bucket(p, roles.ts).alias(p) for p in names],
+        *flags,
+        F.lit(1).alias("_rows"),
+    )
+    if fill_buckets:
+        rows = rows.unionByName(_empty_buckets(rows, names), allowMissingColumns=True)
+    total = F.sum("_rows")
+    measures = [total.alias("n")]
     for flag in flags:
         hits = F.coalesce(F.sum(flag), F.lit(0))
         measures.append(hits.alias(f"{flag}_n"))
         if complement:
-            measures.append((F.count("*") - hits).alias(f"non_{flag}_n"))
-    profile = rows.groupBy(*[bucket(p, roles.ts).alias(p) for p in names]).agg(*measures)
-    if fill_buckets:
-        profile = fill_profile(profile, names)
+            measures.append((total - hits).alias(f"non_{flag}_n"))
+    profile = rows.groupBy(*names).agg(*measures)
     return profile.orderBy(*names) if ordered else profile
 
 
-def fill_profile(profile: DataFrame, periods: str | Sequence[str]) -> DataFrame:
-    """Add absent buckets of one recurring period, with zero counts.
+def _empty_buckets(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row per bucket of a recurring period that counts as no incident.
 
-    Zero rows for every bucket join the profile by a second small sum, so a
-    null bucket, if any, stays.
+    Counted along with the incidents, these rows make every bucket appear
+    without a join or a second aggregation.
     """
-    names = _names(periods)
     if len(names) != 1 or names[0] not in BUCKET_RANGE:
         raise ValueError("only a single month, hour or dow profile has a fixed bucket list")
-    period = names[0]
-    first, last = BUCKET_RANGE[period]
-    counts = [c for c in profile.columns if c != period]
-    zeros = profile.sparkSession.range(first, last + 1).select(
-        F.col("id").cast("int").alias(period),
-        *[F.lit(0).cast("bigint").alias(c) for c in counts],
-    )
-    return (
-        profile.unionByName(zeros)
-        .groupBy(period)
-        .agg(*[F.sum(c).alias(c) for c in counts])
+    first, last = BUCKET_RANGE[names[0]]
+    return rows.sparkSession.range(first, last + 1).select(
+        F.col("id").cast("int").alias(names[0]), F.lit(0).alias("_rows")
     )
 
 

@@ -21,9 +21,22 @@ def test_every_sql_has_a_query():
     assert set(QUERIES) - set(ORACLE) == {"gbt_forecast", "gbt_fairness"}
 
 
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_query_equals_sql(spark, con, name):
-    columns, rows = spark_rows(QUERIES[name](spark, SF))
+    df = QUERIES[name](spark, SF)
+    types = {row[0]: row[1] for row in con.execute(f"describe {ORACLE[name]}").fetchall()}
+    assert {c: TYPES[t] for c, t in df.dtypes} == types
+    columns, rows = spark_rows(df)
     expected_columns, expected = duck_rows(con, ORACLE[name])
     assert columns == expected_columns
     assert len(rows) == len(expected) > 0
