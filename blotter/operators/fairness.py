@@ -22,23 +22,25 @@ def add_band(df: DataFrame, district: str = ROLES.district, name: str = "band")
     return df.withColumn(name, band(district, DISTRICT_CUTS, LAST_BAND))
 
 
-def _names(group: str | Sequence[str]) -> list[str]:
-    return [group] if isinstance(group, str) else list(group)
+def _names(names: str | Sequence[str]) -> list[str]:
+    return [names] if isinstance(names, str) else list(names)
 
 
 def _all_known(cols: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in cols])
 
 
-def rate_by_group(df: DataFrame, group: str | Sequence[str], flag: str) -> DataFrame:
+def rate_by_group(
+    df: DataFrame, group: str | Sequence[str], flags: str | Sequence[str]
+) -> DataFrame:
     """Rows, flagged rows and flagged percentage per known group."""
-    keys = _names(group)
+    keys, named = _names(group), _names(flags)
     counts = (
         df.filter(_all_known(keys))
         .groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.sum(flag).alias(f"{flag}_n"))
+        .agg(F.count("*").alias("n"), *[F.sum(f).alias(f"{f}_n") for f in named])
     )
-    return counts.withColumn(f"{flag}_pct", pct(f"{flag}_n", "n"))
+    return counts.withColumns({f"{f}_pct": pct(f"{f}_n", "n") for f in named})
 
 
 def fairness_by_group(

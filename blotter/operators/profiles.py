@@ -105,6 +105,10 @@ def category_counts(
         .groupBy(label)
         .agg(F.count("*").alias("n"))
     )
+    return _ordered_counts(counts, label, order, top)
+
+
+def _ordered_counts(counts: DataFrame, label: str, order: str, top: int | None) -> DataFrame:
     if top is not None:
         return top_k(counts, "n", top, ties=[label])
     if order == "count":
@@ -143,32 +147,29 @@ def mean_share(shares: DataFrame, flag: str) -> DataFrame:
 def calendar_tally(
     df: DataFrame,
     flag: str,
-    key: str | None = None,
+    keys: Sequence[str] = (),
     roles: Roles = ROLES,
 ) -> DataFrame:
-    """Counts by (year, month), by (weekday, hour) and, if given, by ``key``.
-
-    One pass over the table from which every profile and the whole summary
-    can be summed up. ``part`` (``date``, ``clock`` or ``key``) tells which of
-    the three a row counts. Grouping sets keep them apart: a map task hands on
-    some hundred cells (twelve per year, 168, one per key value), where their
-    product would be nearly as many cells as it has rows. Undated rows have
-    null buckets.
+    """Counts by (year, month), by (weekday, hour) and by each of ``keys``.
+
+    One pass over the table from which every profile, the distributions and
+    the whole summary can be summed up. ``part`` is ``date``, ``clock`` or the
+    key that a row counts. Grouping sets keep the parts apart: a map task
+    hands on some hundred cells (twelve per year, 168, one per key value),
+    where their product would be nearly as many cells as it has rows. Undated
+    rows have null buckets.
     """
     periods = ["year", "month", "dow", "hour"]
-    keys = periods + ([key] if key else [])
     rows = df.select(
         *[bucket(p, roles.ts).alias(p) for p in periods],
-        *([F.col(key)] if key else []),
+        *keys,
         F.col(flag).alias("_flag"),
     )
-    sets = [["year", "month"], ["dow", "hour"]] + ([[key]] if key else [])
-    part = (
-        F.when(F.grouping("year") == 0, "date")
-        .when(F.grouping("hour") == 0, "clock")
-        .otherwise("key")
-    )
-    return rows.groupingSets(sets, *keys).agg(
+    part = F.when(F.grouping("year") == 0, "date").when(F.grouping("hour") == 0, "clock")
+    for key in keys:
+        part = part.when(F.grouping(key) == 0, key)
+    sets = [["year", "month"], ["dow", "hour"], *[[key] for key in keys]]
+    return rows.groupingSets(sets, *periods, *keys).agg(
         part.alias("part"),
         F.count("*").alias("n"),
         F.coalesce(F.sum("_flag"), F.lit(0)).alias(f"{flag}_n"),
@@ -203,9 +204,9 @@ def profile_of_tally(
     return rows.groupBy(period).agg(*measures).orderBy(period)
 
 
-def counts_of_tally(tally: DataFrame, key: str, top: int | None = None) -> DataFrame:
-    """Category counts summed from a tally."""
-    counts = tally.filter((F.col("part") == "key") & known(key)).select(key, "n")
-    if top is not None:
-        return top_k(counts, "n", top, ties=[key])
-    return counts.orderBy(F.col("n").desc(), key)
+def counts_of_tally(
+    tally: DataFrame, key: str, order: str = "numeric", top: int | None = None
+) -> DataFrame:
+    """What ``category_counts`` gives, from a tally that counts the key."""
+    counts = tally.filter((F.col("part") == key) & known(key)).select(key, "n")
+    return _ordered_counts(counts, key, order, top)

@@ -113,7 +113,8 @@ def summary_report(
     roles: Roles = ROLES,
 ) -> DataFrame:
     """Every value of the summary in one row, from one scan of the table."""
-    return summary_of_tally(calendar_tally(df, flag, roles.category, roles), flag, since, roles)
+    tally = calendar_tally(df, flag, [roles.category], roles)
+    return summary_of_tally(tally, flag, since, roles)
 
 
 def summary_of_tally(
@@ -122,7 +123,7 @@ def summary_of_tally(
     since: int = 2001,
     roles: Roles = ROLES,
 ) -> DataFrame:
-    """``summary_report`` from a tally that carries the category.
+    """``summary_report`` from a tally that counts the category.
 
     Each cell is summed into every report line it feeds (all, month and year;
     hour and weekday; category); the lines are then reduced to one row.
@@ -145,7 +146,9 @@ def summary_of_tally(
             F.array(line("all"), line("month", F.col("month")), line("year", recent)),
         )
         .when(part == "clock", F.array(line("hour", F.col("hour")), line("dow", F.col("dow"))))
-        .otherwise(F.array(line("category", text=F.col(roles.category))))
+        .when(
+            part == roles.category, F.array(line("category", text=F.col(roles.category)))
+        )
     )
     per_line = (
         tally.select(F.inline(lines), "n", hits)

@@ -56,11 +56,16 @@ def fairness_audit(
     adds the audit of predictions less their band's mean training error.
     """
     flagged = incidents.withColumn(roles.violent, violent_flag(roles.category, violent))
+    flags = (roles.arrest, roles.violent)
+    rates = materialise(rate_by_group(flagged, roles.district, flags))
     results = {
         f"{name}_rates": top_k(
-            rate_by_group(flagged, roles.district, flag), f"{flag}_pct", 5, [roles.district]
+            rates.select(roles.district, "n", f"{flag}_n", f"{flag}_pct"),
+            f"{flag}_pct",
+            5,
+            ties=[roles.district],
         )
-        for name, flag in (("arrest", roles.arrest), ("violent", roles.violent))
+        for name, flag in zip(("arrest", "violent"), flags)
     }
 
     keys = (roles.unit, roles.district)

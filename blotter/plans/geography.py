@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from blotter.operators.eras import era_means, paired_t
 from blotter.operators.places import hotspots, pairwise_corr
 from blotter.roles import MAYOR_ERAS, ROLES, Era, Roles
+from blotter.runtime import materialise
 from blotter.sources.sinks import write_text, write_tsv
 
 
@@ -23,12 +24,16 @@ def geography(
 ) -> dict[str, DataFrame]:
     """Named results: ``hotspots``, ``correlations``, ``era_means``, ``paired_t``.
 
-    ``eras`` are two; the statistic is that of the first minus the second.
+    ``eras`` are two; the statistic is that of the first minus the second. The
+    short results are stored, so that writing and then showing them does not
+    read the incidents twice.
     """
     first, second = eras
-    means = era_means(incidents, roles.district, eras, roles)
+    means = materialise(era_means(incidents, roles.district, eras, roles))
     results = {
-        "hotspots": hotspots(incidents, roles.block, hotspots_since, roles=roles),
+        "hotspots": materialise(
+            hotspots(incidents, roles.block, hotspots_since, roles=roles)
+        ),
         "correlations": pairwise_corr(incidents, roles.unit, years, digits=4, roles=roles),
         "era_means": means,
         "paired_t": paired_t(means, first.label, second.label),

@@ -10,7 +10,6 @@ from blotter.functions.cleaning import violent_flag
 from blotter.operators.profiles import (
     add_share_pct,
     calendar_tally,
-    category_counts,
     counts_of_tally,
     profile_of_tally,
 )
@@ -31,15 +30,15 @@ def temporal_report(
     """Named results: ``districts``, ``categories``, ``by_month``, ``by_hour``
     (with the violent percentage), ``by_dow``, ``by_year`` and ``summary``.
 
-    One pass gives the tally behind everything but the districts, which read
-    their one column.
+    One pass over the incidents gives the tally behind all of them.
     """
     flag = roles.violent
     flagged = incidents.withColumn(flag, violent_flag(roles.category, violent, null_as=0))
-    tally = materialise(calendar_tally(flagged, flag, roles.category, roles))
+    keys = [roles.category, roles.district]
+    tally = materialise(calendar_tally(flagged, flag, keys, roles))
     results = {
-        "districts": category_counts(incidents, roles.district),
-        "categories": counts_of_tally(tally, roles.category, top),
+        "districts": counts_of_tally(tally, roles.district),
+        "categories": counts_of_tally(tally, roles.category, top=top),
         "by_month": profile_of_tally(tally, "month", flag, complement=True),
         "by_hour": add_share_pct(profile_of_tally(tally, "hour", flag), flag),
         "by_dow": profile_of_tally(tally, "dow", flag),

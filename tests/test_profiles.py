@@ -88,15 +88,21 @@ def test_shares(inc):
 
 
 def test_tally_gives_the_same_profiles(inc):
-    tally = profiles.calendar_tally(inc, "violent", "category")
+    tally = profiles.calendar_tally(inc, "violent", ["category", "arrest"])
     for period in ("month", "hour", "dow", "year"):
         direct = profiles.count_by_period(inc, period, flags=["violent"], complement=True)
-        assert listed(profiles.profile_of_tally(tally, period, "violent", complement=True)) == listed(direct)
+        summed = profiles.profile_of_tally(tally, period, "violent", complement=True)
+        assert listed(summed) == listed(direct)
     assert listed(profiles.profile_of_tally(tally, "year", "violent", since=2001)) == listed(
         profiles.count_by_period(inc, "year", flags=["violent"], since=2001)
     )
-    assert listed(profiles.counts_of_tally(tally, "category")) == [("A", 2), ("B", 2), ("C", 1)]
-    assert listed(profiles.counts_of_tally(tally, "category", 2)) == [("A", 2), ("B", 2)]
+    with pytest.raises(ValueError):
+        profiles.profile_of_tally(tally, "hour", "violent", since=2001)
+    for key, order in (("category", "count"), ("arrest", "numeric")):
+        assert listed(profiles.counts_of_tally(tally, key, order)) == listed(
+            profiles.category_counts(inc, key, order=order)
+        )
+    assert listed(profiles.counts_of_tally(tally, "category", top=2)) == [("A", 2), ("B", 2)]
 
 
 def test_overall(inc):
