@@ -199,6 +199,7 @@ def test_pairs_are_joined_on_keys(spark, same_prefix):
     plan = final_plan(df)
     assert "CartesianProduct" not in plan
     assert "NestedLoop" not in plan
+    assert operators(plan, "SortMergeJoin") == 1
 
 
 def test_audit_uses_no_python_and_no_products(spark):
