@@ -29,14 +29,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage at files in the shared folder.
+def materialise(df: DataFrame, label: str = "stored") -> DataFrame:
+    """Compute ``df`` once, keep it as parquet in the shared folder, read that.
 
-    Meant for pre-aggregated frames that several later jobs read, such as the
-    weekly panel before a model fit. The files outlive lost executors.
+    Cuts the lineage, survives lost executors, and later jobs read only the
+    columns they need. Meant for frames that several later jobs read.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
