@@ -40,6 +40,8 @@ META_SIZE = SOURCE_BUCKETS + LANG_BUCKETS + 10
 ROUNDS = 3
 #: A view teaches documents whose calibrated probability is this sure.
 SURE = 0.98
+#: Only documents that are clearly worse than not go.
+KEEP_FROM = 0.3
 RIDGE = 1e-3
 SCORE_BINS = 400
 _WORD = re.compile(r"\S+")
@@ -284,7 +286,7 @@ def verdict(views: list[View]):
     """A pandas UDF: (text, source, lang) to ``score``, both views' scores, ``keep``.
 
     ``score`` is the probability of good quality: the mean of the log odds of
-    both views. A document is kept from 0.5 on. Null and empty texts have no
+    both views. A document is kept from ``KEEP_FROM`` on. Null and empty texts have no
     features and are judged by source and language; repeated rows get the
     same answer; without views all are kept with score 1.
     """
@@ -299,7 +301,7 @@ def verdict(views: list[View]):
             else:
                 a = b = np.full(len(text), np.inf)
             both, a, b = (1 / (1 + np.exp(-z)) for z in ((a + b) / 2, a, b))
-            yield pd.DataFrame({"score": both, "text_score": a, "meta_score": b, "keep": both >= 0.5})
+            yield pd.DataFrame({"score": both, "text_score": a, "meta_score": b, "keep": both >= KEEP_FROM})
 
     return judge
 

@@ -2,4 +2,84 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+#: Whole ``pages``: the list's own members are looked up without any filter.
+OP4 = r"""
+with p as (
+  select page_id, url,
+    coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path,
+    coalesce(regexp_extract(url, '://[^?#]*\?([^#]*)', 1), '') as query
+  from pages),
+q as (
+  select *, array_to_string(list_sort(list_filter(string_split(query, '&'),
+      lambda x: x <> '' and not regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') as kept
+  from p),
+c as (
+  select *, case when contains(url, '://') then
+      regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+      || case when kept <> '' then '?' || kept else '' end
+    else '' end as key
+  from q),
+l as (
+  select distinct key from c
+  where regexp_matches(host, '(^|[.-])(bets|casino|pills|spam)([.-]|$)') and key <> ''),
+r as (
+  select c.page_id, c.host, c.path, l.key is not null as listed,
+    case
+      when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
+      when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
+      when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
+      when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/'
+    end as rule
+  from c left join l on c.key = l.key)
+select page_id, host, path, rule, listed,
+  case when rule in ('net/', 'example.com/de/') then 'block'
+       when rule in ('example.net/en/', 'org/fr/') then 'allow'
+       when listed then 'block' else 'allow' end as verdict
+from r
+"""
+
+#: Whole ``conversations``: levels by recursion, canonical JSON written out.
+OP10 = r"""
+with recursive t as (
+  select conv_id, turn, role, text from conversations where conv_id is not null and turn is not null),
+calls as (
+  select conv_id, turn, conv_id || '-' || turn as call_id, role = 'user' as reply, text,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words,
+    conv_id || '-' || (turn // 2) as needs
+  from t where role in ('system', 'user')),
+lv as (
+  select call_id, 0 as level from calls
+  where turn = 0 or needs not in (select call_id from calls)
+  union all
+  select c.call_id, lv.level + 1 from calls c join lv on c.needs = lv.call_id where c.turn > 0),
+res as (
+  select conv_id || '-' || (turn - 1) as call_id, count(*) as n_results, min(turn) as turn,
+    min(conv_id) as conv_id, arg_min(text, turn) as content
+  from t where role = 'assistant' group by 1),
+e as (
+  select c.*, lv.level, r.content, coalesce(r.n_results, 0) as n_results,
+    case when reply then concat_ws('; ',
+        case when text is null then 'prompt: missing' when length(text) < 20 then 'prompt: too small' end,
+        case when words < 5 then 'words: too small' end)
+      else concat_ws('; ', case when text is null then 'instruction: missing'
+        when length(text) < 1 then 'instruction: too small' end) end as errors
+  from calls c join lv on c.call_id = lv.call_id left join res r on c.call_id = r.call_id)
+select conv_id, turn, call_id, case when reply then 'reply' else 'configure' end as name,
+  cast(level as int) as level,
+  case when errors <> '' then 'invalid' when n_results = 0 then 'unanswered' else 'ok' end as status,
+  errors, n_results,
+  '{"arguments":' || case when reply
+      then '{"depth":' || (turn // 2) || case when text is null then '' else ',"prompt":' || to_json(text) end || ',"words":' || words || '}'
+      else '{' || case when text is null then '' else '"instruction":' || to_json(text) || ',' end || '"strict":true}' end
+    || ',"id":"' || call_id || '","name":"' || case when reply then 'reply' else 'configure' end || '"'
+    || case when content is null then '' else ',"result":' || to_json(content) end || '}' as json
+from e
+union all
+select conv_id, turn, call_id, null, null, 'orphan result', '', n_results,
+  '{"id":"' || call_id || '"' || case when content is null then '' else ',"result":' || to_json(content) end || '}'
+from res where call_id not in (select call_id from calls)
+"""
+
+ORACLE: dict[str, str] = {"op4_bloom_url_filter": OP4, "op10_tool_call_linking": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from blotter.llm import cotrain, packing, simhash, zstd_langid
+from blotter.llm import cotrain, multi_index, packing, simhash, tool_calls, url_filter, zstd_langid
 from blotter.llm.common import id_hash
 
 
@@ -23,10 +23,19 @@ def op3_quality_cotraining(spark, sf):
     return docs.select("doc_id", cotrain.judged(docs, views).alias("v")).select("doc_id", "v.*")
 
 
+def op4_bloom_url_filter(spark, sf):
+    pages = table(spark, sf, "pages")
+    return url_filter.judge(pages, url_filter.listed_urls(pages))
+
+
 def op7_simhash_components(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op8_inverted_multi_index(spark, sf):
+    return multi_index.search(table(spark, sf, "embeddings"))
+
+
 def op9_compression_language(spark, sf):
     docs = table(spark, sf, "documents")
     held_out = F.coalesce(id_hash() % 5 == 0, F.lit(False))
@@ -36,9 +45,17 @@ def op9_compression_language(spark, sf):
     )
 
 
+def op10_tool_call_linking(spark, sf):
+    calls, results = tool_calls.chats_as_calls(table(spark, sf, "conversations"))
+    return tool_calls.link(calls, results).withColumn("errors", F.array_join("errors", "; "))
+
+
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_cotraining": op3_quality_cotraining,
+    "op4_bloom_url_filter": op4_bloom_url_filter,
     "op7_simhash_components": op7_simhash_components,
+    "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_compression_language": op9_compression_language,
+    "op10_tool_call_linking": op10_tool_call_linking,
 }
