@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from blotter.llm import cotrain, multi_index, packing, simhash, tool_calls, url_filter, zstd_langid
+from blotter.llm import cotrain, multi_index, packing, simhash, tool_calls, url_filter, winnowing, zstd_langid
 from blotter.llm.common import id_hash
 
 
@@ -13,6 +13,10 @@ def table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_winnowing_fingerprints(spark, sf):
+    return winnowing.compared(table(spark, sf, "documents"))
+
+
 def op2_best_fit_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -51,6 +55,7 @@ def op10_tool_call_linking(spark, sf):
 
 
 QUERIES = {
+    "op1_winnowing_fingerprints": op1_winnowing_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_cotraining": op3_quality_cotraining,
     "op4_bloom_url_filter": op4_bloom_url_filter,
