@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.llm.common import only
-from blotter.llm.segments import ByteBpe
+from blotter.llm.segments import byte_bpe
 from blotter.runtime import materialise
 
 CAPACITY = 1024
@@ -65,7 +65,7 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = ByteBpe(tokenizer)
+        encoder = byte_bpe(tokenizer)
         for batch in batches:
             out = []
             for doc_id, ids in zip(batch["doc_id"].tolist(), encoder.ids(batch["text"])):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from blotter.llm import cotrain, multi_index, packing, simhash, tool_calls, url_filter, winnowing, zstd_langid
+from blotter.llm import cotrain, multi_index, packing, piece_codec, simhash, tool_calls, url_filter, winnowing, zstd_langid
 from blotter.llm.common import id_hash
 
 
@@ -32,6 +32,10 @@ def op4_bloom_url_filter(spark, sf):
     return url_filter.judge(pages, url_filter.listed_urls(pages))
 
 
+def op5_sentencepiece_codec(spark, sf):
+    return piece_codec.round_trip(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_simhash_components(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_cotraining": op3_quality_cotraining,
     "op4_bloom_url_filter": op4_bloom_url_filter,
+    "op5_sentencepiece_codec": op5_sentencepiece_codec,
     "op7_simhash_components": op7_simhash_components,
     "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_compression_language": op9_compression_language,
