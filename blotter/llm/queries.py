@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from blotter.llm import cotrain, multi_index, packing, piece_codec, simhash, tool_calls, url_filter, winnowing, zstd_langid
+from blotter.llm import attention_lm, cotrain, multi_index, packing, piece_codec, simhash, tool_calls, url_filter, winnowing, zstd_langid
 from blotter.llm.common import id_hash
 
 
@@ -36,6 +36,10 @@ def op5_sentencepiece_codec(spark, sf):
     return piece_codec.round_trip(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_attention_lm_scores(spark, sf):
+    return attention_lm.scores(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_simhash_components(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op3_quality_cotraining": op3_quality_cotraining,
     "op4_bloom_url_filter": op4_bloom_url_filter,
     "op5_sentencepiece_codec": op5_sentencepiece_codec,
+    "op6_attention_lm_scores": op6_attention_lm_scores,
     "op7_simhash_components": op7_simhash_components,
     "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_compression_language": op9_compression_language,
