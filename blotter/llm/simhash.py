@@ -21,7 +21,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,8 @@ from blotter.runtime import materialise
 
 BITS = 64
 RADIUS = 2
+#: Bits for fingerprints of distinct words, whose near copies are verified.
+STAGE_RADIUS = 5
 SEED = 42
 #: Fingerprints in a bucket from which on it is dealt out again. It moves work
 #: only: the links are the same for any value.
@@ -39,14 +41,16 @@ FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwx
 HASHES_AT_ONCE = 1 << 14
 
 
-def simhash(text: str | None, words: int = 3) -> int:
-    """Fingerprint of the word shingles of ``text``, repeats included.
+def simhash(text: str | None, words: int = 3, distinct: bool = False) -> int:
+    """Fingerprint of the word shingles of ``text``, repeats included unless ``distinct``.
 
     A text of fewer words is one shingle; without any word (or null) it is 0.
     """
     found = (text or "").encode("utf-8", "replace").translate(FOLD).split()
     if not found:
         return 0
+    if distinct and words == 1:
+        found = sorted(set(found))
     joined = b" ".join(found)
     if len(found) <= words:
         return xxhash.xxh64_intdigest(joined, SEED)
@@ -72,12 +76,14 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distinct: bool = False
+) -> DataFrame:
     """``doc_id``, ``fp`` (the 64 bits as a signed long), one row per row."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fp = [_signed(simhash(t, words)) for t in batch["text"]]
+            fp = [_signed(simhash(t, words, distinct)) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": np.array(fp, np.int64)})
 
     source = only(docs, doc_id=id_col, text=text_col)
@@ -156,6 +162,7 @@ def near_duplicates(
     text_col: str = "text",
     words: int = 3,
     radius: int = RADIUS,
+    distinct: bool = False,
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` per row.
 
@@ -165,7 +172,7 @@ def near_duplicates(
     come back as often as they came. A null id is never a component's id
     unless the component has no other. An empty table gives an empty one.
     """
-    fps = materialise(fingerprints(docs, id_col, text_col, words), "simhash")
+    fps = materialise(fingerprints(docs, id_col, text_col, words, distinct), "simhash")
     nodes = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = connected_components(linked_fingerprints(nodes.select("fp"), radius))
     labelled = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
@@ -179,21 +186,58 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", order: str = "text") -> DataFrame:
-    """One document of each group of ``near_duplicates``, with its own columns.
+def shingles(text: str | None, words: int) -> set[bytes]:
+    found = (text or "").encode("utf-8", "replace").translate(FOLD).split()
+    if not found:
+        return set()
+    return {b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
+
+
+def alike(words: int, least: float):
+    """A pandas UDF: whether two texts share so much of their word shingles.
+
+    The measure is the Jaccard similarity; two texts without words are alike.
+    """
+
+    @F.pandas_udf("boolean")
+    def judge(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(left, right):
+            x, y = shingles(a, words), shingles(b, words)
+            out.append(a == b or len(x & y) >= least * len(x | y))
+        return pd.Series(out, dtype=bool)
+
+    return judge
 
-    The document with the smallest id stays; of rows that repeat that id one
-    stays. Documents without an id belong to no group and stay.
+
+def without_near_copies(
+    docs: DataFrame,
+    words: int = 5,
+    least: float = 0.8,
+    radius: int = STAGE_RADIUS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one document of each group of near copies, columns as given.
+
+    Groups are found on fingerprints of the distinct words, where near copies
+    differ in fewer bits than on shingles. The document of a group with the
+    smallest id stays, and so does every one that shares less than ``least``
+    of its shingles of ``words`` with that: a document goes only if what it
+    repeats stays. Of rows that repeat an id one stays. Documents without an
+    id belong to no group and stay; an empty table stays empty.
     """
-    from pyspark.sql import Window
-
-    chosen = groups.select(F.col("component_id").alias("_kept")).where("_kept is not null").distinct()
-    by_id = Window.partitionBy("_kept").orderBy(F.xxhash64(F.col(f"`{order}`")))
-    kept = (
-        docs.where(F.col(id_col).isNotNull())
-        .join(chosen, F.col(id_col) == F.col("_kept"))
-        .withColumn("_place", F.row_number().over(by_id))
-        .where("_place = 1")
-        .drop("_kept", "_place")
+    groups = near_duplicates(docs, id_col, text_col, 1, radius, True)
+    other = groups.where("doc_id is not null and component_id is not null and doc_id <> component_id")
+    other = materialise(other.select("doc_id", "component_id").distinct(), "near-copies")
+    texts = only(docs, doc_id=id_col, text=text_col).where("doc_id is not null")
+    first = texts.join(other.select("component_id").distinct(), F.col("doc_id") == F.col("component_id")).groupBy(
+        "component_id"
     )
+    first = first.agg(F.min("text").alias("kept"))
+    near = alike(words, least)(F.col("text"), F.col("kept"))
+    gone = texts.join(other, "doc_id").join(first, "component_id").where(near).select(F.col("doc_id").alias("_gone"))
+    left = docs.where(F.col(id_col).isNotNull()).join(gone.distinct(), F.col(id_col) == F.col("_gone"), "left_anti")
+    by_id = Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(f"`{text_col}`")))
+    kept = left.withColumn("_place", F.row_number().over(by_id)).where("_place = 1").drop("_place")
     return kept.unionByName(docs.where(F.col(id_col).isNull()))

@@ -24,8 +24,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs, simhash.near_duplicates(docs))
+    """One document of each group: five-word shingles alike to 0.8 or more."""
+    return simhash.without_near_copies(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,9 +76,6 @@ def test_groups_equal_those_of_all_pairs(spark, monkeypatch):
             assert r["component_id"] == expected[r["doc_id"]]
     by_id = {d: t for d, t, _ in rows}
     assert all(int(r["fingerprint"], 16) == plain(by_id[r["doc_id"]]) for r in got)
-    kept = S.keep_one(docs, S.near_duplicates(docs))
-    assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(expected.values()))
     assert S.near_duplicates(docs.limit(0)).count() == 0
 
 
@@ -98,3 +95,28 @@ def test_long_chain_is_one_component(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(3_000)]
+    texts = []
+    for _ in range(15):
+        base = rng.choices(words, k=150)
+        close, apart = list(base), list(base)
+        close[70] = "changed"
+        for i in range(0, 150, 9):
+            apart[i] = "other"
+        texts += [base, close, base, apart]
+    rows = [(i, " ".join(t), "x") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows + rows[:1] + [(None, "a", "x"), (None, "a", "x")], "doc_id long, text string, kept string")
+    got = S.without_near_copies(docs)
+    assert got.columns == docs.columns
+    ids = [r["doc_id"] for r in got.collect()]
+    assert ids.count(None) == 2
+    ids = sorted(i for i in ids if i is not None)
+    assert len(ids) == len(set(ids))
+    assert {i for i in ids if i % 4 in (0, 3)} == {i for i in range(60) if i % 4 in (0, 3)}
+    assert not [i for i in ids if i % 4 == 2]
+    assert len([i for i in ids if i % 4 == 1]) <= 2
+    assert S.without_near_copies(docs.limit(0)).count() == 0
