@@ -44,6 +44,7 @@ SURE = 0.98
 KEEP_FROM = 0.3
 RIDGE = 1e-3
 SCORE_BINS = 400
+PART = 512
 _WORD = re.compile(r"\S+")
 _UPPER, _DIGIT, _MARK = (np.zeros(256, bool) for _ in range(3))
 _UPPER[65:91] = True
@@ -150,20 +151,27 @@ def _matrix(values: pd.Series, width: int) -> np.ndarray:
 
 
 def _added(rows: DataFrame, shape: tuple[int, ...], per_batch) -> np.ndarray:
-    """The sum over all rows of ``per_batch``: each task adds up its own first."""
+    """The sum over all rows of ``per_batch``: each task adds up its own first.
+
+    Sums travel in parts of ``PART`` numbers, and each part is added up by itself.
+    """
+    size = int(np.prod(shape))
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(int(np.prod(shape)))
+        total = np.zeros(size)
         for batch in batches:
             if len(batch):
                 total += per_batch(batch).ravel()
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"i": used, "v": total[used]})
+        parts = [(i, total[i : i + PART]) for i in range(0, size, PART) if total[i : i + PART].any()]
+        yield pd.DataFrame(parts, columns=["at", "v"])
+
+    def together(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"at": parts["at"].iloc[:1], "v": [np.sum(np.stack(parts["v"]), axis=0)]})
 
-    sums = rows.mapInPandas(task, "i long, v double").groupBy("i").agg(F.sum("v").alias("v"))
-    out = np.zeros(int(np.prod(shape)))
-    for r in sums.collect():
-        out[r["i"]] = r["v"]
+    kind = "at long, v array<double>"
+    out = np.zeros(size)
+    for r in rows.mapInPandas(task, kind).groupBy("at").applyInPandas(together, kind).collect():
+        out[r["at"] : r["at"] + len(r["v"])] = r["v"]
     return out.reshape(shape)
 
 
