@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,8 +12,9 @@ from pyspark.sql import functions as F
 
 CATEGORIES = ("unit", "year", "week")
 
-# Rows of training data that keep one task busy for a tree level.
-ROWS_PER_FIT_TASK = 20_000
+# Partitions of the training rows. Trees pick their split candidates by
+# partition, so the number is part of the model, like the seed.
+FIT_PARTITIONS = 16
 
 # Scalar inputs of the full forecast; with the three encoded categories, 19.
 FEATURES_FULL = (
@@ -102,26 +102,24 @@ def forecast_pipeline(
     return Pipeline(stages=[category_indexer(categories), encoder, assembler, trees])
 
 
-def spread_for_fit(train: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Training rows in enough partitions to use the cores of the cluster.
+def laid_out(train: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """Training rows in a layout that depends on the rows and ``partitions`` only.
 
-    A tree level computes far more per row than a shuffle read does, so the
-    few large partitions that AQE leaves of a panel would idle most cores.
-    Rows are placed by their keys: a lost task places them again the same way.
+    Rows are placed by their keys and sorted by all columns, so neither the
+    cores of a cluster nor the order of its reads change the fitted model.
     """
-    part = F.spark_partition_id().alias("part")
-    rows, parts = train.select(part).agg(F.count("*"), F.count_distinct("part")).first()
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    wanted = min(cores, math.ceil(rows / ROWS_PER_FIT_TASK))
-    return train.repartition(wanted, *keys) if wanted > parts else train
+    return train.repartition(partitions, *keys).sortWithinPartitions(*train.columns)
 
 
 def fit_forecast(
-    train: DataFrame, categories: Sequence[str] = CATEGORIES, **options
+    train: DataFrame,
+    categories: Sequence[str] = CATEGORIES,
+    partitions: int = FIT_PARTITIONS,
+    **options,
 ) -> PipelineModel:
     """Fit the pipeline. ``train`` is read several times: pass it materialised."""
     pipeline = forecast_pipeline(categories=categories, **options)
-    return pipeline.fit(spread_for_fit(train, categories))
+    return pipeline.fit(laid_out(train, categories, partitions))
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -158,7 +156,7 @@ def metrics_text(metrics: DataFrame) -> DataFrame:
     """The metrics as one text value, one line per figure."""
     names = ("rmse", "mae", "mse", "r2")
     lines = [
-        F.concat(F.lit(f"{c.upper()}: "), F.coalesce(F.format_number(c, 4), F.lit("-")))
+        F.concat(F.lit(f"{c.upper()}: "), F.when(F.col(c).isNull(), "-").otherwise(F.format_string("%.4f", c)))
         for c in names
     ]
     return metrics.select(F.concat_ws("\n", *lines).alias("value"))

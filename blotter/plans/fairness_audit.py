@@ -73,7 +73,7 @@ def fairness_audit(
     features = materialise(add_band(features_base(panel, keys), roles.district))
     marked = split_by_index(features, fraction)
     train, test = train_part(marked), test_part(marked)
-    options = {"features": FEATURES_BASE, "invalid": "skip", **fit_options}
+    options = {"features": FEATURES_BASE, **fit_options}
     options["categories"] = (roles.unit, "year", "week")
     if reweight:
         train = materialise(add_weights(train, group_weights(train, "band"), "band"))

@@ -43,8 +43,11 @@ def forecast_next_week(
     """Named results: ``predictions`` on the test rows and their ``metrics``.
 
     The panel with its features is stored once; the fit and the prediction
-    read it many times and never go back to the incidents.
+    read it many times and never go back to the incidents. Calendar weeks
+    restart every year, so they can be neither densified nor cut at a date.
     """
+    if week_mode == "calendar" and (dense or split == "date"):
+        raise ValueError("dense weeks and a split by date need week_mode='iso'")
     flagged = incidents.withColumn(roles.violent, violent_flag(roles.category, violent))
     panel = weekly_panel(flagged, [roles.unit], week_mode, roles)
     if dense:

@@ -41,7 +41,7 @@ def geography(
     if out:
         write_tsv(results["hotspots"], f"{out}/top_blocks")
         write_tsv(results["correlations"], f"{out}/correlations")
-        shown = F.coalesce(F.format_number("t", 4), F.lit("undefined"))
+        shown = F.when(F.col("t").isNull(), "undefined").otherwise(F.format_string("%.4f", "t"))
         line = F.concat(F.lit("T-statistic: "), shown).alias("value")
         write_text(results["paired_t"].select(line), f"{out}/t_statistic")
     return results

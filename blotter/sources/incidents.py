@@ -25,15 +25,16 @@ def read_incidents_csv(
 ) -> DataFrame:
     """Header CSV with every column as text.
 
-    Without a schema the header names the columns. With one, header and
-    schema must agree by name. ``corrupt_column`` (which the schema must
+    Without a schema the header names the columns. Every file's header must
+    hold the same names in the same order; Spark refuses files where it does
+    not, rather than take columns for one another. ``corrupt_column`` (which the schema must
     hold) receives the text of rows with too few or too many fields.
     """
     reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
-        .option("enforceSchema", schema is None)
+        .option("enforceSchema", False)
     )
     if schema is not None:
         reader = reader.schema(schema)

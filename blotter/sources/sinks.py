@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.roles import ROLES, Roles
 
 
+def _text(df: DataFrame, name: str) -> Column:
+    """A value as text; small numbers are written out, not as powers of ten."""
+    value = F.col(f"`{name}`")
+    if dict(df.dtypes)[name] not in ("double", "float"):
+        return value.cast("string")
+    small = (F.abs(value) < 1e-3) & (F.abs(value) >= 1e-4)
+    plain = F.regexp_replace(value.cast("decimal(20,16)").cast("string"), "0+$", "")
+    return F.when(small, plain).otherwise(value.cast("string"))
+
+
 def tsv_lines(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One text column of tab-joined values; a null prints as ``None``."""
-    cells = [
-        F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("None")) for c in cols or df.columns
-    ]
+    cells = [F.coalesce(_text(df, c), F.lit("None")) for c in cols or df.columns]
     return df.select(F.concat_ws("\t", *cells).alias("value"))
 
 

@@ -22,7 +22,13 @@ from blotter.roles import Era
 from blotter.runtime import materialise, scratch_path
 from blotter.sources.incidents import normalise, read_incidents_csv
 from blotter.sources.sinks import write_csv, write_parquet, write_text, write_tsv
-from catalogue.fixtures import ORDER_VIOLENT, event_incidents, order_incidents, raw_text
+from catalogue.fixtures import (
+    ORDER_VIOLENT,
+    dated_orders,
+    event_incidents,
+    order_incidents,
+    raw_text,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +51,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def arrests_by_month(spark, sf):
-    inc = order_incidents(spark, sf)
+    inc = dated_orders(spark, sf)
     return profiles.count_by_period(inc, "month", where="arrest", drop_null_bucket=False)
 
 
@@ -55,17 +61,17 @@ def arrests_by_hour(spark, sf):
 
 
 def arrests_by_dow(spark, sf):
-    inc = order_incidents(spark, sf)
+    inc = dated_orders(spark, sf)
     return profiles.count_by_period(inc, "dow", where="arrest", drop_null_bucket=False)
 
 
 def arrests_by_year_month(spark, sf):
-    inc = order_incidents(spark, sf)
+    inc = dated_orders(spark, sf)
     return profiles.count_by_period(inc, ["year", "month"], where="arrest")
 
 
 def arrest_rate_by_month(spark, sf):
-    return rounded(profiles.share_by_period(order_incidents(spark, sf), "month", "arrest"))
+    return rounded(profiles.share_by_period(dated_orders(spark, sf), "month", "arrest"))
 
 
 def counts_by_district(spark, sf):
@@ -74,11 +80,11 @@ def counts_by_district(spark, sf):
 
 
 def top_categories(spark, sf):
-    return profiles.category_counts(order_incidents(spark, sf), "category", top=15)
+    return profiles.category_counts(dated_orders(spark, sf), "category", top=15)
 
 
 def monthly_violent(spark, sf):
-    inc = order_incidents(spark, sf)
+    inc = dated_orders(spark, sf)
     return profiles.count_by_period(
         inc, "month", flags=["violent"], complement=True, fill_buckets=True
     )
@@ -90,11 +96,11 @@ def hourly_violent(spark, sf):
 
 
 def dow_violent(spark, sf):
-    return profiles.count_by_period(order_incidents(spark, sf), "dow", flags=["violent"])
+    return profiles.count_by_period(dated_orders(spark, sf), "dow", flags=["violent"])
 
 
 def yearly_violent(spark, sf):
-    inc = order_incidents(spark, sf)
+    inc = dated_orders(spark, sf)
     return profiles.count_by_period(inc, "year", flags=["violent"], since=1995)
 
 
@@ -112,7 +118,7 @@ def hourly_violent_pct_mean(spark, sf):
 
 
 def overall_summary(spark, sf):
-    return rounded(summary.overall_summary(order_incidents(spark, sf)))
+    return rounded(summary.overall_summary(dated_orders(spark, sf)))
 
 
 def peak_buckets(spark, sf):
@@ -124,15 +130,15 @@ def violent_pct_extremes(spark, sf):
 
 
 def top_category_share(spark, sf):
-    return rounded(summary.top_share(order_incidents(spark, sf)))
+    return rounded(summary.top_share(dated_orders(spark, sf)))
 
 
 def yearly_change(spark, sf):
-    return rounded(summary.yearly_change(order_incidents(spark, sf), since=1995))
+    return rounded(summary.yearly_change(dated_orders(spark, sf), since=1995))
 
 
 def summary_report(spark, sf):
-    return rounded(summary.summary_report(order_incidents(spark, sf), since=1995))
+    return rounded(summary.summary_report(dated_orders(spark, sf), since=1995))
 
 
 def summary_report_events(spark, sf):
@@ -143,7 +149,7 @@ def summary_report_events(spark, sf):
 
 
 def hotspots_top10(spark, sf):
-    return places.hotspots(order_incidents(spark, sf), since=1999)
+    return places.hotspots(dated_orders(spark, sf), since=1999)
 
 
 def unit_year_counts(spark, sf):
@@ -211,7 +217,7 @@ def clean_text_fields(spark, sf):
 
 
 def violent_flags(spark, sf):
-    inc = order_incidents(spark, sf)
+    inc = dated_orders(spark, sf)
     category = F.nullif("category", F.lit("5-LOW"))
     return inc.select(
         "id",
@@ -332,9 +338,7 @@ def gbt_forecast(spark, sf):
 def gbt_fairness(spark, sf):
     p = panel.weekly_panel(_by_district(order_incidents(spark, sf)), UNIT_DISTRICT)
     split = panel.split_by_index(materialise(fairness.add_band(panel.features_base(p))))
-    model = forecast.fit_forecast(
-        panel.train_part(split), features=forecast.FEATURES_BASE, invalid="skip"
-    )
+    model = forecast.fit_forecast(panel.train_part(split), features=forecast.FEATURES_BASE)
     return fairness.fairness_by_group(forecast.predict(model, panel.test_part(split)), "band")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from blotter.functions import calendar as cal
 from blotter.functions import cleaning as cl
 from blotter.roles import VIOLENT_10, VIOLENT_14, Era, text_schema
+from blotter.sources.sinks import tsv_lines
 from blotter.sources.incidents import normalise, read_incidents_csv, well_formed
 
 
@@ -169,3 +170,15 @@ def test_schema_must_fit_the_header(spark, tmp_path):
     swapped = text_schema("Case Number", "ID", *HEADER[2:])
     with pytest.raises(Exception, match="header|Header"):
         read_incidents_csv(spark, path, swapped).collect()
+
+
+def test_headers_in_another_order_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,Beat,District\n1,0112,1\n")
+    (tmp_path / "b.csv").write_text("ID,District,Beat\n2,1,0112\n")
+    with pytest.raises(Exception, match="header"):
+        read_incidents_csv(spark, str(tmp_path)).collect()
+
+
+def test_small_numbers_are_written_out(spark):
+    df = spark.createDataFrame([(0.0005,), (-0.0001,), (0.9999,), (1.0,), (None,)], "r double")
+    assert [x.value for x in tsv_lines(df).collect()] == ["0.0005", "-0.0001", "0.9999", "1.0", "None"]

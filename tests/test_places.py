@@ -7,6 +7,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from blotter.operators import eras, places
 from blotter.roles import Era
 
@@ -136,3 +138,10 @@ def test_paired_t(spark):
     assert value == pytest.approx(diffs.mean() / (diffs.std(ddof=1) / 3**0.5))
     assert t([(3.0, 2.0)]) == (1, 1.0, None)
     assert t([(3.0, 2.0), (4.0, 3.0)]) == (2, 1.0, None)
+
+
+def test_empty_keys_are_no_hotspot_and_one_year_has_no_correlation(spark):
+    rows = [(i, "" if i % 2 else "a", f"011{i % 3}", f"2020-0{1 + i % 9}-01 00:00:00") for i in range(20)]
+    df = spark.createDataFrame(rows, "id bigint, block string, unit string, ts string").withColumn("ts", F.to_timestamp("ts"))
+    assert [r.block for r in places.hotspots(df, since=2019).collect()] == ["a"]
+    assert {r.r for r in places.pairwise_corr(df, years=[2020]).collect()} == {None}
