@@ -16,7 +16,7 @@ whatever the input.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -34,6 +34,8 @@ RADIUS = 2
 #: Bits for fingerprints of distinct words, whose near copies are verified.
 STAGE_RADIUS = 5
 SEED = 42
+#: Hash seeds of the stage: each gives near copies another chance to be linked.
+STAGE_SEEDS = (SEED, SEED + 1)
 #: Fingerprints in a bucket from which on it is dealt out again. It moves work
 #: only: the links are the same for any value.
 BUCKET = 512
@@ -41,7 +43,7 @@ FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwx
 HASHES_AT_ONCE = 1 << 14
 
 
-def simhash(text: str | None, words: int = 3, distinct: bool = False) -> int:
+def simhash(text: str | None, words: int = 3, distinct: bool = False, seed: int = SEED) -> int:
     """Fingerprint of the word shingles of ``text``, repeats included unless ``distinct``.
 
     A text of fewer words is one shingle; without any word (or null) it is 0.
@@ -53,12 +55,12 @@ def simhash(text: str | None, words: int = 3, distinct: bool = False) -> int:
         found = sorted(set(found))
     joined = b" ".join(found)
     if len(found) <= words:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return xxhash.xxh64_intdigest(joined, seed)
     lengths = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(found) - words + 1].tolist()
     ends = ends[words - 1 :].tolist()
-    digest = partial(xxhash.xxh64_intdigest, seed=SEED)
+    digest = partial(xxhash.xxh64_intdigest, seed=seed)
     ones = np.zeros(BITS, np.int64)
     for i in range(0, len(starts), HASHES_AT_ONCE):
         j = min(i + HASHES_AT_ONCE, len(starts))
@@ -103,17 +105,18 @@ def _dropped(mask: int) -> list[int]:
 
 
 def _forest(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """(smallest, other) for each linked set among ``members``."""
+    """Links (earlier, later) that span each linked set among ``members``."""
     rest = np.unique(members)
     out = []
     if len(rest) == 2:
         a, b = rest.tolist()
         return [(a, b)] if ((a ^ b) & ((1 << BITS) - 1)).bit_count() <= radius else []
     while len(rest) > 1:
-        root, front, rest = rest[0], rest[:1], rest[1:]
+        front, rest = rest[:1], rest[1:]
         while len(front) and len(rest):
-            near = (np.bitwise_count((front[:256, None] ^ rest[None, :]).view(np.uint64)) <= radius).any(axis=0)
-            out += [(int(root), int(x)) for x in rest[near]]
+            close = np.bitwise_count((front[:256, None] ^ rest[None, :]).view(np.uint64)) <= radius
+            near = close.any(axis=0)
+            out += zip(front[close.argmax(axis=0)[near]].tolist(), rest[near].tolist())
             front, rest = np.concatenate([front[256:], rest[near]]), rest[~near]
     return out
 
@@ -210,34 +213,73 @@ def alike(words: int, least: float):
     return judge
 
 
+def _prints(source: DataFrame, seeds: tuple[int, ...]) -> DataFrame:
+    """``doc_id``, ``th``, ``same`` (hashes of the text), ``fps`` (one per seed)."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            fps = [[_signed(simhash(t, 1, True, seed)) for seed in seeds] for t in batch["text"]]
+            yield batch.drop(columns="text").assign(fps=fps)
+
+    hashed = source.select(
+        "doc_id",
+        F.xxhash64("text").alias("th"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("same"),
+        "text",
+    )
+    schema = T.StructType([*hashed.drop("text").schema, T.StructField("fps", T.ArrayType(T.LongType()))])
+    return hashed.mapInPandas(rows, schema)
+
+
+def _candidates(prints: DataFrame, at: int, radius: int) -> DataFrame:
+    """``a``, ``b``: ids whose fingerprint number ``at`` are equal or linked."""
+    own = prints.select("doc_id", F.col("fps")[at].alias("fp"))
+    nodes = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "copy-nodes")
+    equal = own.join(nodes, "fp").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    linked = linked_fingerprints(nodes.select("fp"), radius)
+    left = nodes.select(F.col("fp").alias("a"), F.col("least").alias("first"))
+    right = nodes.select(F.col("fp").alias("b"), F.col("least").alias("second"))
+    ends = linked.join(left, "a").join(right, "b")
+    return equal.union(ends.select(F.least("first", "second").alias("a"), F.greatest("first", "second").alias("b")))
+
+
 def without_near_copies(
     docs: DataFrame,
     words: int = 5,
     least: float = 0.8,
     radius: int = STAGE_RADIUS,
+    seeds: tuple[int, ...] = STAGE_SEEDS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with one document of each group of near copies, columns as given.
 
-    Groups are found on fingerprints of the distinct words, where near copies
-    differ in fewer bits than on shingles. The document of a group with the
-    smallest id stays, and so does every one that shares less than ``least``
-    of its shingles of ``words`` with that: a document goes only if what it
-    repeats stays. Of rows that repeat an id one stays. Documents without an
-    id belong to no group and stay; an empty table stays empty.
+    Candidates are pairs whose fingerprints of the distinct words are linked
+    under some seed; near copies differ there in fewer bits than on shingles.
+    A pair counts if the texts share at least ``least`` of their shingles of
+    ``words``. A group is what such pairs and equal texts connect; its
+    smallest id stays. Documents without words are equal. Of rows that repeat
+    an id one stays and speaks for it. Documents without an id belong to no
+    group and stay; an empty table stays empty.
     """
-    groups = near_duplicates(docs, id_col, text_col, 1, radius, True)
-    other = groups.where("doc_id is not null and component_id is not null and doc_id <> component_id")
-    other = materialise(other.select("doc_id", "component_id").distinct(), "near-copies")
-    texts = only(docs, doc_id=id_col, text=text_col).where("doc_id is not null")
-    first = texts.join(other.select("component_id").distinct(), F.col("doc_id") == F.col("component_id")).groupBy(
-        "component_id"
-    )
-    first = first.agg(F.min("text").alias("kept"))
-    near = alike(words, least)(F.col("text"), F.col("kept"))
-    gone = texts.join(other, "doc_id").join(first, "component_id").where(near).select(F.col("doc_id").alias("_gone"))
-    left = docs.where(F.col(id_col).isNotNull()).join(gone.distinct(), F.col(id_col) == F.col("_gone"), "left_anti")
+    source = only(docs, doc_id=id_col, text=text_col).where("doc_id is not null")
+    rows = _prints(source, seeds).groupBy("doc_id").agg(F.min(F.struct("th", "same", "fps")).alias("r"))
+    prints = materialise(rows.select("doc_id", "r.*"), "prints")
+    firsts = prints.groupBy("same").agg(F.min(F.struct("doc_id", "th", "fps")).alias("r"))
+    firsts = materialise(firsts.select("same", "r.*"), "first-copies")
+    pairs = reduce(DataFrame.union, [_candidates(firsts, at, radius) for at in range(len(seeds))])
+    pairs = materialise(pairs.distinct(), "candidates")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = firsts.join(ends, "doc_id", "left_semi").select("doc_id", "th")
+    texts = source.withColumn("th", F.xxhash64("text")).join(wanted, ["doc_id", "th"]).select("doc_id", "text")
+    texts = materialise(texts, "candidate-texts")
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
+    linked = pairs.join(left, "a").join(right, "b").where(alike(words, least)("one", "other")).select("a", "b")
+    groups = connected_components(materialise(linked.distinct(), "near-pairs"))
+    copies = prints.join(firsts.select("same", F.col("doc_id").alias("first")), "same").where("doc_id <> first")
+    gone = groups.where("node <> root").select(F.col("node").alias("_gone")).union(copies.select("doc_id"))
+    kept = docs.where(F.col(id_col).isNotNull()).join(gone.distinct(), F.col(id_col) == F.col("_gone"), "left_anti")
     by_id = Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(f"`{text_col}`")))
-    kept = left.withColumn("_place", F.row_number().over(by_id)).where("_place = 1").drop("_place")
+    kept = kept.withColumn("_place", F.row_number().over(by_id)).where("_place = 1").drop("_place")
     return kept.unionByName(docs.where(F.col(id_col).isNull()))
