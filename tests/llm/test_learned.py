@@ -144,14 +144,47 @@ def test_scores_and_exact_word_counts(docs):
     assert A.scores(docs.limit(0), FILE).count() == 0
 
 
-def test_shares_of_the_next_id_sum_to_one(docs):
-    model = A.learn(docs.select("doc_id", "text").na.fill(""), FILE, rounds=1)
-    ids = np.frombuffer(next(byte_bpe(FILE).ids(["lomitan ru"])), "<u4").astype(np.int64)
-    line = np.concatenate([[A.END], ids])[None, :]
-    every = np.arange(A.VOCABULARY)
-    kept = model.kept[every]
-    last = model.kept[line]
-    logits = A.forward(model.weights, model.pairs, last, model.class_of[last])["logits"][-1]
-    group = model.class_of[kept]
-    p = np.exp(logits[group] - model.pairs[last[0, -1], group] + model.follows[last[0, -1], kept] + model.within) / np.exp(logits).sum()
-    assert p.sum() == pytest.approx(1, abs=1e-3)
+def encoded(spark, docs):
+    texts = [r["text"] or "" for r in docs.select("text").collect()]
+    rows = [(np.frombuffer(i, "<u4").astype("<u2").tobytes(),) for i in byte_bpe(FILE).ids(texts)]
+    return spark.createDataFrame(rows, "ids binary")
+
+
+def test_shares_of_the_next_id_sum_to_one(spark, docs):
+    before = A.RUNS
+    try:
+        for runs in (before, 200, 0):
+            A.RUNS = runs
+            model = A.learn(encoded(spark, docs), rounds=1)
+            assert len(model.runs) <= max(1, runs)
+            assert np.all(model.spare <= model.led)
+            for text in ("lomitan ru", docs.where("length(text) > 20").first()["text"][:12]):
+                ids = np.frombuffer(next(byte_bpe(FILE).ids([text])), "<u4").astype(np.int64)
+                every = np.arange(A.VOCABULARY)
+                inputs = np.tile(np.concatenate([[A.END], ids]), (A.VOCABULARY, 1))
+                targets = np.tile(every[:, None], (1, inputs.shape[1]))
+                p = np.exp(A._log_shares(model, inputs, targets, inputs.shape[1] - 1))
+                assert p.sum() == pytest.approx(1, abs=1e-3)
+    finally:
+        A.RUNS = before
+
+
+def test_runs_are_counted_over_whole_texts(spark, docs):
+    kept = np.arange(A.VOCABULARY) % A.KEPT
+    packed = encoded(spark, docs).toPandas()["ids"]
+    want = {}
+    for line in A._lines(packed):
+        for x in zip(line[:-2], line[1:-1], line[2:]):
+            i = (kept[x[0]] * A.KEPT + kept[x[1]]) * A.KEPT + kept[x[2]]
+            want[i] = want.get(i, 0) + 1
+    before = A.IDS_AT_ONCE
+    try:
+        for size in (before, 7):
+            A.IDS_AT_ONCE = size
+            got = {}
+            for numbers, n in A._run_counts(packed, kept):
+                for i, c in zip(numbers, n):
+                    got[i] = got.get(i, 0) + c
+            assert got == want
+    finally:
+        A.IDS_AT_ONCE = before
