@@ -243,6 +243,68 @@ def _candidates(prints: DataFrame, at: int, radius: int) -> DataFrame:
     return equal.union(ends.select(F.least("first", "second").alias("a"), F.greatest("first", "second").alias("b")))
 
 
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
+    return pairs.join(left, "a").join(right, "b").where(alike(words, least)("one", "other")).select("a", "b")
+
+
+def _unfinished(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``doc_id``, ``cluster``, ``grp`` where a cluster of candidates has several groups.
+
+    Every pair of close fingerprints lies within one cluster, whatever trees
+    its buckets handed on.
+    """
+    of = groups.select(F.col("node").alias("doc_id"), F.col("root").alias("grp"))
+    clusters = connected_components(pairs).select(F.col("node").alias("doc_id"), F.col("root").alias("cluster"))
+    placed = materialise(
+        clusters.join(of, "doc_id", "left").select("doc_id", "cluster", F.coalesce("grp", "doc_id").alias("grp")),
+        "clusters",
+    )
+    several = placed.groupBy("cluster").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y")
+    return materialise(placed.join(several.select("cluster"), "cluster", "left_semi"), "unfinished")
+
+
+def _prefix_pairs(docs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """``a``, ``b``: all pairs of one cluster and different groups that may be alike.
+
+    Of two sets alike to ``least`` each shares so many of its shingles with
+    the other that, in an order common to both, the first ones beyond that
+    share meet. Rarest shingles come first. Where in the order two sets meet
+    first bounds what they share; pairs bounded below ``least`` are not made.
+    """
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for d, c, g, text in batch.itertuples(index=False):
+                found = {_signed(xxhash.xxh64_intdigest(s, SEED)) for s in shingles(text, words) or {b""}}
+                yield pd.DataFrame({"doc_id": d, "cluster": c, "grp": g, "n": len(found), "s": list(found)})
+
+    own = docs.join(texts, "doc_id").select("doc_id", "cluster", "grp", "text").dropDuplicates(["doc_id"])
+    schema = T.StructType([*own.drop("text").schema, T.StructField("n", T.LongType()), T.StructField("s", T.LongType())])
+    placed = materialise(own.mapInPandas(rows, schema), "shingles")
+    spread = placed.groupBy("cluster", "s").agg(
+        F.count("*").alias("df"), F.min("grp").alias("x"), F.max("grp").alias("y")
+    )
+    # Shingles of one group only make no pair, but take their places in the order.
+    in_order = Window.partitionBy("doc_id").orderBy("df", "s")
+    met = placed.join(spread, ["cluster", "s"]).withColumn("place", F.row_number().over(in_order))
+    ahead = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
+    prefix = met.where((F.col("place") <= ahead) & (F.col("x") != F.col("y")))
+    prefix = materialise(prefix.select("cluster", "s", "doc_id", "grp", "n", "place"), "prefixes")
+    a, b = prefix.alias("a"), prefix.alias("b")
+    shared = 1 + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
+    together = F.col("a.n") + F.col("b.n")
+    # A pair that meets in several places keeps the first, whose bound is the widest.
+    may = shared >= (together - shared) * (least - 1e-9)
+    return (
+        a.join(b, [F.col("a.cluster") == F.col("b.cluster"), F.col("a.s") == F.col("b.s"),
+                   F.col("a.doc_id") < F.col("b.doc_id"), F.col("a.grp") != F.col("b.grp"), may])
+        .select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
+        .distinct()
+    )
+
+
 def without_near_copies(
     docs: DataFrame,
     words: int = 5,
@@ -257,7 +319,9 @@ def without_near_copies(
     Candidates are pairs whose fingerprints of the distinct words are linked
     under some seed; near copies differ there in fewer bits than on shingles.
     A pair counts if the texts share at least ``least`` of their shingles of
-    ``words``. A group is what such pairs and equal texts connect; its
+    ``words``. Trees of links are checked first; where the links of a cluster
+    do not all pass, all pairs of the cluster are searched by their shingles.
+    A group is what such pairs and equal texts connect; its
     smallest id stays. Documents without words are equal. Of rows that repeat
     an id one stays and speaks for it. Documents without an id belong to no
     group and stay; an empty table stays empty.
@@ -273,10 +337,15 @@ def without_near_copies(
     wanted = firsts.join(ends, "doc_id", "left_semi").select("doc_id", "th")
     texts = source.withColumn("th", F.xxhash64("text")).join(wanted, ["doc_id", "th"]).select("doc_id", "text")
     texts = materialise(texts, "candidate-texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
-    linked = pairs.join(left, "a").join(right, "b").where(alike(words, least)("one", "other")).select("a", "b")
-    groups = connected_components(materialise(linked.distinct(), "near-pairs"))
+    linked = materialise(_verified(pairs, texts, words, least).distinct(), "near-pairs")
+    groups = materialise(connected_components(linked), "groups")
+    open_docs = _unfinished(pairs, groups)
+    if not open_docs.isEmpty():
+        more = materialise(_prefix_pairs(open_docs, texts, words, least), "more-candidates")
+        more = _verified(more, texts, words, least)
+        groups = connected_components(
+            groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
+        )
     copies = prints.join(firsts.select("same", F.col("doc_id").alias("first")), "same").where("doc_id <> first")
     gone = groups.where("node <> root").select(F.col("node").alias("_gone")).union(copies.select("doc_id"))
     kept = docs.where(F.col(id_col).isNotNull()).join(gone.distinct(), F.col(id_col) == F.col("_gone"), "left_anti")

@@ -120,3 +120,23 @@ def test_near_copies_go_and_others_stay(spark):
     assert not [i for i in ids if i % 4 == 2]
     assert len([i for i in ids if i % 4 == 1]) <= 2
     assert S.without_near_copies(docs.limit(0)).count() == 0
+
+
+def test_near_copies_behind_a_document_that_fails(spark):
+    """Equal word sets in another order share a fingerprint; the smallest id is alike to none."""
+    rng = random.Random(5)
+    words = [f"t{i}" for i in range(200)]
+    rows, want = [], set()
+    for k in range(4):
+        base = rng.sample(words, 200)
+        apart = rng.sample(base, 200)
+        near = [base[20:] + base[:20], base[100:] + base[:100], base[:60] + base[130:] + base[60:130]]
+        rows += [(10 * k + i, " ".join(t)) for i, t in enumerate([apart, base, *near])]
+        want |= {10 * k, 10 * k + 1}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in S.without_near_copies(docs).collect()} == want
+    sets = {d: S.shingles(t, 5) for d, t in rows}
+    alike = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    placed = spark.createDataFrame([(d, 0, d) for d, _ in rows], "doc_id long, cluster long, grp long")
+    got = {(r["a"], r["b"]) for r in S._prefix_pairs(placed, docs, 5, 0.8).collect()}
+    assert alike <= got
