@@ -188,3 +188,14 @@ def test_runs_are_counted_over_whole_texts(spark, docs):
             assert got == want
     finally:
         A.IDS_AT_ONCE = before
+
+
+def test_all_runs_count_whatever_is_looked_up(docs):
+    before, got = A.RUNS, []
+    try:
+        for runs in (before, 50):
+            A.RUNS = runs
+            got.append({r["doc_id"]: r["score"] for r in A.scores(docs, FILE).collect()})
+    finally:
+        A.RUNS = before
+    assert got[0] == pytest.approx(got[1])
