@@ -199,3 +199,15 @@ def test_all_runs_count_whatever_is_looked_up(docs):
     finally:
         A.RUNS = before
     assert got[0] == pytest.approx(got[1])
+
+
+def test_each_id_is_learned_once(spark, docs):
+    kept = np.arange(A.VOCABULARY)
+    for n in (0, 1, 15, 16, 17, 100, 5_000):
+        ids = np.arange(n)
+        for rounds in (1, 4):
+            found = [A._spread_windows([ids.astype("<u2").tobytes()], kept, r, rounds) for r in range(rounds)]
+            seen = np.concatenate([w[:, 1:].ravel() for w in found])
+            assert sorted(seen[seen >= 0].tolist()) == [*range(n), A.END]
+            for w in np.concatenate(found):
+                assert np.all((w[1:] == w[:-1] + 1) | (w[1:] == A.END) | (w[1:] < 0) | (w[:-1] == A.END))
