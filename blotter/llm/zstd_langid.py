@@ -58,14 +58,16 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Di
     n = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     cut = F.substring("text", (F.pmod("h", n) + 1).cast("int"), F.lit(SAMPLE_CHARS))
     by_lang = Window.partitionBy("lang").orderBy("h")
-    sample = (
-        rows.select("lang", "h", cut.alias("cut"))
+    # Copies go before places are counted, so that they use up none.
+    places = (
+        rows.select("lang", "h")
+        .distinct()
         .withColumn("place", F.row_number().over(by_lang))
         .where(F.col("place") <= SAMPLE_TEXTS)
-        .select("lang", "h", "cut")
-        .distinct()
-        .collect()
+        .select("lang", "h")
     )
+    cuts = rows.select("lang", "h", cut.alias("cut"))
+    sample = cuts.join(F.broadcast(places), ["lang", "h"]).distinct().collect()
     frequent = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     content: dict[str, bytes] = {}
     for lang in sorted(frequent, key=lambda x: (-frequent[x], x)):

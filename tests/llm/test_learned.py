@@ -211,3 +211,11 @@ def test_each_id_is_learned_once(spark, docs):
             assert sorted(seen[seen >= 0].tolist()) == [*range(n), A.END]
             for w in np.concatenate(found):
                 assert np.all((w[1:] == w[:-1] + 1) | (w[1:] == A.END) | (w[1:] < 0) | (w[:-1] == A.END))
+
+
+def test_copies_use_up_no_places_of_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(Z, "SAMPLE_TEXTS", 5)
+    texts = ["".join(chr(97 + (i * 7 + j * j) % 26) for j in range(9)) for i in range(5)]
+    rows = [(t, "aa") for t in texts for _ in range(40)]
+    content = Z.learn(spark.createDataFrame(rows, "text string, lang string").repartition(3)).content
+    assert sorted(content["aa"].decode().split()) == sorted(set(texts))
