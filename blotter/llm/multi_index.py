@@ -3,8 +3,8 @@
 Both halves of a vector are quantised by codebooks of their own, so ``k`` +
 ``k`` centroids cut space into ``k`` times ``k`` cells. A query goes through
 the pairs of centroids in order of their summed distance, taken from a heap,
-until the cells seen hold ``SCANNED`` of all rows; what lies in them is ranked
-by exact distance.
+until the cells seen hold ``SCANNED`` of all rows and enough candidates; what
+lies in them is ranked by exact distance.
 
 Cells are dealt to blocks of some thousand rows, a full cell to several. A
 block meets the queries that visit one of its cells, some at a time, and hands
@@ -156,10 +156,10 @@ def search(
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for query_id, v in zip(batch["vec_id"], batch["v"]):
+            for query_id, v, own in zip(batch["vec_id"], batch["v"], batch["own"]):
                 left = ((books[0] - v[:half]) ** 2).sum(1)
                 right = ((books[1] - v[half:]) ** 2).sum(1)
-                cells = np.array(visited(left, right, counts, scanned * total), np.int64)
+                cells = np.array(visited(left, right, counts, max(scanned * total, nearest + own)), np.int64)
                 owner = np.repeat(first[cells], spread[cells])
                 owner += np.concatenate([np.arange(n) for n in spread[cells]])
                 held = np.repeat(cells, spread[cells])
@@ -175,9 +175,9 @@ def search(
                     }
                 )
 
+    queries = index.where(F.col("vec_id") % every == 0).select("vec_id", "v")
     asked = (
-        index.where(F.col("vec_id") % every == 0)
-        .select("vec_id", "v")
+        queries.join(queries.groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id")
         .mapInPandas(ask, "block long, share long, query_id long, q array<double>, cells array<long>")
     )
 

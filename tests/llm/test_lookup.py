@@ -53,6 +53,16 @@ def test_search_recall_and_exact_scores(spark, monkeypatch):
     assert hits >= 0.9 * 10 * len(expected)
 
 
+def test_small_tables_give_all_there_is(spark):
+    rng = np.random.default_rng(4)
+    for n in (2, 3, 11, 15, 25):
+        rows = [(i, rng.normal(size=8).tolist()) for i in range(n)]
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = M.search(frame, every=100).collect()
+        assert sorted(r["rank"] for r in got) == [*range(1, min(10, n - 1) + 1)]
+        assert len({r["vec_id"] for r in got}) == len(got)
+
+
 def test_search_ties_few_rows_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(0, 300, 3)] * 2, schema)
