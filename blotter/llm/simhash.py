@@ -9,8 +9,8 @@ meets in some of the seven tables, without exception.
 
 A bucket with many fingerprints is dealt out again by the same construction
 over the positions its mask has dropped. What then still shares a bucket
-differs in at most twelve positions, so it holds at most 4,096 fingerprints,
-whatever the input.
+differs in at most twelve positions (sixteen for radius 5), so it holds at most
+4,096 fingerprints (65,536), whatever the input.
 """
 
 from __future__ import annotations
@@ -95,7 +95,10 @@ def fingerprints(
 
 def covering_masks(positions: list[int], radius: int = RADIUS) -> list[int]:
     """Masks over ``positions``; any ``radius`` of them escape one mask at least."""
-    vectors = range(1, 1 << (radius + 1))
+    top = 1 << radius
+    # From the upper half on: where positions are fewer than vectors, each mask
+    # still keeps about half of them.
+    vectors = [*range(top, 2 * top), *range(1, top)]
     given = {p: vectors[i % len(vectors)] for i, p in enumerate(positions)}
     return [sum(1 << p for p, g in given.items() if (g & v).bit_count() % 2) for v in vectors]
 

@@ -140,3 +140,14 @@ def test_near_copies_behind_a_document_that_fails(spark):
     placed = spark.createDataFrame([(d, 0, d) for d, _ in rows], "doc_id long, cluster long, grp long")
     got = {(r["a"], r["b"]) for r in S._prefix_pairs(placed, docs, 5, 0.8).collect()}
     assert alike <= got
+
+
+def test_second_masks_of_the_stage_leave_few_positions_free():
+    for m in S.covering_masks(list(range(64)), S.STAGE_RADIUS):
+        free = S._dropped(m)
+        second = S.covering_masks(free, S.STAGE_RADIUS)
+        assert max(len(free) - x.bit_count() for x in second) <= 16
+        rng = random.Random(m)
+        for _ in range(200):
+            some = sum(1 << p for p in rng.sample(free, S.STAGE_RADIUS))
+            assert any(not x & some for x in second)
