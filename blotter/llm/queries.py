@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from blotter.llm import attention_lm, cotrain, multi_index, packing, piece_codec, simhash, tool_calls, url_filter, winnowing, zstd_langid
+from blotter.llm import attention_lm, cotrain, multi_index, packing, piece_codec, simhash, token_alignment, tool_calls, url_filter, winnowing, zstd_langid
 from blotter.llm.common import id_hash
 
 
@@ -62,6 +62,12 @@ def op10_tool_call_linking(spark, sf):
     return tool_calls.link(calls, results).withColumn("errors", F.array_join("errors", "; "))
 
 
+def op13_token_alignment(spark, sf):
+    return token_alignment.align(
+        table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 QUERIES = {
     "op1_winnowing_fingerprints": op1_winnowing_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -73,4 +79,5 @@ QUERIES = {
     "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_compression_language": op9_compression_language,
     "op10_tool_call_linking": op10_tool_call_linking,
+    "op13_token_alignment": op13_token_alignment,
 }
