@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from blotter.llm.rule_cascade import STOP_TEXT
+
 #: Whole ``pages``: the list's own members are looked up without any filter.
 OP4 = r"""
 with p as (
@@ -82,4 +84,106 @@ select conv_id, turn, call_id, null, null, 'orphan result', '', n_results,
 from res where call_id not in (select call_id from calls)
 """
 
-ORACLE: dict[str, str] = {"op4_bloom_url_filter": OP4, "op10_tool_call_linking": OP10}
+#: Whole ``documents``: every rule for every text, passages by grouping.
+OP11 = r"""
+with d as (
+  select doc_id, row_number() over () as k, coalesce(text, '') as text from documents),
+w as (
+  select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from d),
+p as (
+  select k, i - 1 as place, array_to_string(words[i:i + 7], ' ') as passage
+  from (select k, words, unnest(range(1, len(words) - 6)) as i from w)),
+r as (
+  select k, count(distinct place + step) as n_repeat_words
+  from (select k, place, unnest(range(8)) as step
+        from (select k, place, count(*) over (partition by k, passage) as times from p) where times > 1)
+  group by k),
+c as (
+  select doc_id, len(words) as n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words,
+    len(lines) as n_lines,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) as capitals,
+    length(regexp_replace(text, '[^\x21-\x40\x5B-\x60\x7B-\x7E]', '', 'g')) as marks,
+    length(regexp_replace(text, '[^!]', '', 'g')) as exclamations,
+    len(list_intersect(list_transform(words, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz')), [STOP_WORDS])) as stop_words,
+    coalesce(list_max(map_values(list_histogram(words))), 0) as most_frequent,
+    coalesce(list_max(list_transform(words, lambda x: length(x))), 0) as longest
+  from w left join r using (k)),
+f as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from c)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or 10 * n_symbols > n_words or 2 * n_dup_lines > n_lines
+    or not word_chars between 3 * n_words and 10 * n_words or 10 * capitals > 4 * word_chars
+    or 10 * marks > 3 * word_chars or 2 * exclamations > n_words or stop_words < 2
+    or 4 * most_frequent > n_words or longest > 500) as kept
+from f
+""".replace("STOP_WORDS", ", ".join(sorted(f"'{w}'" for w in STOP_TEXT.split())))
+
+#: Whole ``documents``: levels by recursion; CRC-32 by its table, which a rule builds.
+OP12 = r"""
+with recursive t as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as crc_table),
+d as (
+  select *, xor(list_reduce(list_prepend(4294967295::bigint,
+      list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)::bigint)),
+      lambda a, b: xor(a >> 8, crc_table[(xor(a, b) & 255) + 1])), 4294967295) % 7 = 0 as tampered
+  from documents, t),
+s as (
+  select doc_id, lang, tampered,
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') as head,
+    coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as n,
+    coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') as n_later,
+    coalesce(strlen(text) || ':' || text, '-') as body
+  from d),
+leaves as materialized (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos
+  from (select doc_id, lang, sha256(head || n || body) as leaf,
+    sha256(head || case when tampered then n_later else n end || body) as found from s)),
+up as (
+  select lang, 0 as level, pos, leaf as h, count(*) over (partition by lang) as many from leaves
+  union all
+  select lang, level + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (min(many) + 1) // 2
+  from up where many > 1 group by lang, level, pos // 2),
+roots as materialized (
+  select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as pos from up where many = 1),
+top as (
+  select 0 as level, pos, subroot as h, count(*) over () as many from roots
+  union all
+  select level + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (min(many) + 1) // 2
+  from top where many > 1 group by level, pos // 2),
+sib as materialized (
+  select u.lang, u.level, u.pos, coalesce(v.h, '') as h, u.pos % 2 = 1 as is_left
+  from up u left join up v on u.lang is not distinct from v.lang and u.level = v.level and v.pos = xor(u.pos, 1)
+  where u.many > 1
+  union all
+  select r.lang, 1000 + u.level, -1, coalesce(v.h, ''), u.pos % 2 = 1
+  from roots r join top u on u.pos = r.pos // (1 << u.level) left join top v on u.level = v.level and v.pos = xor(u.pos, 1)
+  where u.many > 1),
+way as materialized (
+  select l.doc_id, l.pos as leaf_pos, l.lang, s.h, s.is_left,
+    row_number() over (partition by l.lang, l.pos order by s.level) as step
+  from leaves l join sib s on s.lang is not distinct from l.lang
+    and (s.pos = -1 or s.pos = l.pos // (1 << case when s.level < 1000 then s.level else 0 end))),
+fold as (
+  select lang, pos, 1 as step, found as h from leaves
+  union all
+  select f.lang, f.pos, f.step + 1, sha256(case when w.is_left then w.h || f.h else f.h || w.h end)
+  from fold f join way w on w.lang is not distinct from f.lang and w.leaf_pos = f.pos and w.step = f.step),
+ends as (select lang, pos, arg_max(h, step) as folded_root from fold group by lang, pos),
+proofs as (select lang, leaf_pos as pos, sha256(string_agg(h, '' order by step)) as proof_sha256 from way group by lang, leaf_pos)
+select l.doc_id, l.leaf, r.subroot, t.h as root, coalesce(p.proof_sha256, sha256('')) as proof_sha256,
+  e.folded_root, e.folded_root = t.h as verified
+from leaves l join roots r on r.lang is not distinct from l.lang join top t on t.many = 1
+join ends e on e.lang is not distinct from l.lang and e.pos = l.pos
+left join proofs p on p.lang is not distinct from l.lang and p.pos = l.pos
+"""
+
+ORACLE: dict[str, str] = {"op4_bloom_url_filter": OP4, "op10_tool_call_linking": OP10, "op11_rule_cascade": OP11, "op12_merkle_manifest": OP12}

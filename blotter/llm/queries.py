@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from blotter.llm import attention_lm, cotrain, multi_index, packing, piece_codec, simhash, token_alignment, tool_calls, url_filter, winnowing, zstd_langid
+from blotter.llm import attention_lm, cotrain, merkle, multi_index, packing, piece_codec, rule_cascade, simhash, token_alignment, tool_calls, url_filter, winnowing, zstd_langid
 from blotter.llm.common import id_hash
 
 
@@ -62,6 +62,15 @@ def op10_tool_call_linking(spark, sf):
     return tool_calls.link(calls, results).withColumn("errors", F.array_join("errors", "; "))
 
 
+def op11_rule_cascade(spark, sf):
+    return rule_cascade.judge(table(spark, sf, "documents"))
+
+
+def op12_merkle_manifest(spark, sf):
+    found_later = F.when(id_hash() % 7 == 0, F.try_add(F.col("n_chars"), F.lit(1))).otherwise(F.col("n_chars"))
+    return merkle.manifest(table(spark, sf, "documents"), {"n_chars": found_later})
+
+
 def op13_token_alignment(spark, sf):
     return token_alignment.align(
         table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -79,5 +88,7 @@ QUERIES = {
     "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_compression_language": op9_compression_language,
     "op10_tool_call_linking": op10_tool_call_linking,
+    "op11_rule_cascade": op11_rule_cascade,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_token_alignment": op13_token_alignment,
 }
