@@ -33,10 +33,10 @@ from blotter.llm.common import only
 from blotter.llm.segments import ByteBpe, grouped
 from blotter.runtime import materialise
 
-#: Distinct segments that a Python worker remembers before it starts anew.
-REMEMBERED = 300_000
+#: Distinct segments that a Python worker remembers before it drops the rarer ones.
+REMEMBERED = 120_000
 #: Texts whose new segments are aligned together.
-TOGETHER = 256
+TOGETHER = 128
 #: Pairs whose counts are sent to the tasks, 17 bytes each.
 LOOKED_UP = 2_000_000
 #: Runs of so many characters are encoded by ``tokenizers``.
@@ -157,9 +157,6 @@ class Aligner:
         #: An id and the mark behind it: more of its side, the other side, the next group.
         self.marked = [str(i).encode() + mark for mark in (b",", b"|", b";") for i in range(most)]
         self.marked_length = np.array(list(map(len, self.marked)))
-        self._forget()
-
-    def _forget(self) -> None:
         #: Segment to its number; -1 if its bytes do not come back.
         self.number: dict[str, int] = {}
         #: ``a1,a2|b1;`` for each group.
@@ -169,12 +166,29 @@ class Aligner:
         self.first = np.zeros(1, np.int64)
         self.pair = np.zeros(0, np.int64)
         self.times = np.zeros(0, np.int32)
+        #: Groups of texts that a segment was found in.
+        self.used = np.zeros(0, np.int32)
+
+    def _forget(self, needed: set[str]) -> None:
+        """Keep the segments needed now and, of the others, the more used half at most."""
+        rank = np.sort(self.used)[::-1]
+        least = max(2, rank[REMEMBERED // 2] + 1) if len(rank) > REMEMBERED // 2 else 2
+        often = self.used >= least
+        kept = [(s, i) for s, i in self.number.items() if s in needed or (i >= 0 and often[i])]
+        at = np.array([i for _, i in kept if i >= 0], np.int64)
+        held = self.first[at + 1] - self.first[at]
+        index = np.arange(held.sum()) + np.repeat(self.first[at] - (np.cumsum(held) - held), held)
+        self.pair, self.times = self.pair[index], self.times[index]
+        self.first = np.concatenate([[0], np.cumsum(held)])
+        self.sums, self.used = self.sums[at], self.used[at] // 2
+        self.texts = [self.texts[i] for i in at.tolist()]
+        new = iter(range(len(at)))
+        self.number = {s: -1 if i < 0 else next(new) for s, i in kept}
 
     def learn(self, segments: set[str]) -> None:
         new = [s for s in segments if s not in self.number]
         if len(self.number) + len(new) > REMEMBERED and self.number:
-            self._forget()
-            new = list(segments)
+            self._forget(segments)
         # Segments that start with a blank and end without one can follow one another.
         chained = [s for s in new if len(s) < LONG_SEGMENT and s[0] in " \t\n" and not s[-1].isspace()]
         for some in grouped(chained, 5_000):
@@ -204,6 +218,7 @@ class Aligner:
         self.texts += self._spelled(group_a, flat_a, group_b, flat_b, owner)
         self.number.update(zip(segments, range(len(self.sums), len(self.sums) + n)))
         self.sums = np.concatenate([self.sums, np.stack(sums, axis=1)])
+        self.used = np.concatenate([self.used, np.zeros(n, np.int32)])
         held = np.bincount(of_pair, minlength=n)
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(held)])
         self.pair = np.concatenate([self.pair, pair])
@@ -232,6 +247,7 @@ class Aligner:
             return found
         at = np.array(list(chain.from_iterable(numbers[i] for i in kept)))
         sizes = [len(numbers[i]) for i in kept]
+        self.used[at] += 1  # once for each segment, however often it occurs
         starts = np.cumsum([0, *sizes[:-1]])
         sums = np.add.reduceat(self.sums[at], starts)
         first = self.first[at]
