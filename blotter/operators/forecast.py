@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.operators.encoding import slot_value
+from blotter.runtime import scratch_path
+
 CATEGORIES = ("unit", "year", "week")
 
 # Partitions of the training rows. Trees pick their split candidates by
@@ -56,26 +59,6 @@ def category_indexer(cols: Sequence[str] = CATEGORIES) -> StringIndexer:
     )
 
 
-def category_index(df: DataFrame, cols: Sequence[str] = CATEGORIES) -> DataFrame:
-    """Dictionary of the indexer: rows (column, value, index, n)."""
-    indexed = category_indexer(cols).fit(df.select(*cols)).transform(df.select(*cols))
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(c).cast("string").alias("value"),
-                F.col(f"{c}_index").cast("int").alias("index"),
-            )
-            for c in cols
-        ]
-    )
-    return (
-        indexed.select(F.inline(entries))
-        .groupBy("column", "value", "index")
-        .agg(F.count("*").alias("n"))
-    )
-
-
 def forecast_pipeline(
     features: Sequence[str] = FEATURES_FULL,
     categories: Sequence[str] = CATEGORIES,
@@ -126,6 +109,79 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows)
 
 
+def model_table(model: PipelineModel) -> DataFrame:
+    """The fitted trees as rows (tree, node, feature, threshold, left, right, value, weight).
+
+    A row goes left where the value at slot ``feature`` is at most
+    ``threshold``; a leaf has no feature. Splits of a 0/1 slot, which Spark
+    keeps as sets of categories, are written as thresholds as well. Spark
+    saves the model as a table, which is read back; its size is set by the
+    number and depth of the trees.
+    """
+    trees = model.stages[-1]
+    spark = SparkSession.active()
+    path = scratch_path(spark, "trees")
+    trees.write().save(path)
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("tree", "_", "weight").select("tree", "weight")
+    nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    held, kinds = F.col("split.leftCategoriesOrThreshold"), F.col("split.numCategories")
+    leaf, listed = F.col("leftChild") < 0, kinds >= 0
+    zero, one = F.array_contains(held, 0.0), F.array_contains(held, 1.0)
+    # The sides change places where the left one is that of the ones.
+    swapped = listed & one & ~zero
+    threshold = (
+        F.when(~listed, held[0])
+        .when(kinds > 2, F.raise_error(F.lit("only 0/1 slots may be split by category")).cast("double"))
+        .when(zero & one, F.lit(float("inf")))
+        .when(zero | one, 0.5)
+        .otherwise(float("-inf"))
+    )
+    return nodes.join(weights, "tree").select(
+        "tree",
+        F.col("id").alias("node"),
+        F.when(~leaf, F.col("split.featureIndex")).alias("feature"),
+        F.when(~leaf, threshold).alias("threshold"),
+        F.when(~leaf, F.when(swapped, F.col("rightChild")).otherwise(F.col("leftChild"))).alias("left"),
+        F.when(~leaf, F.when(swapped, F.col("leftChild")).otherwise(F.col("rightChild"))).alias("right"),
+        F.col("prediction").alias("value"),
+        "weight",
+    )
+
+
+def predict_by_table(
+    rows: DataFrame, nodes: DataFrame, max_depth: int = 5, prediction: str = "prediction"
+) -> DataFrame:
+    """Forecast of rows from ``encoding.encoded`` by a table of nodes.
+
+    The trees are gathered into one value, whose size the fit's parameters
+    bound, and every row walks down all of them inside its task: no join, no
+    shuffle, no model object. Nodes are numbered from 0 within a tree, as
+    ``model_table`` has them; ``max_depth`` is that of the fit.
+    """
+    fields = ("node", "feature", "threshold", "left", "right", "value")
+    trees = (
+        nodes.groupBy("tree", "weight")
+        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("nodes"))
+        .agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))))
+        .scalar()
+    )
+
+    def below(at: Column, own: Column) -> Column:
+        node = F.get(own, at)
+        left = slot_value(node["feature"]) <= node["threshold"]
+        return F.when(node["feature"].isNull(), at).when(left, node["left"]).otherwise(node["right"])
+
+    def leaf_value(own: Column) -> Column:
+        levels = F.sequence(F.lit(1), F.lit(max_depth))
+        leaf = F.aggregate(levels, F.lit(0), lambda at, _: below(at, own))
+        return F.get(own, leaf)["value"]
+
+    total = F.aggregate(
+        "_trees", F.lit(0.0), lambda done, tree: done + tree["weight"] * leaf_value(tree["nodes"])
+    )
+    return rows.withColumn("_trees", trees).withColumn(prediction, total).drop("_trees")
+
+
 def persistence(features: DataFrame) -> DataFrame:
     """Forecast that repeats this week's count: the yardstick for the trees."""
     return features.withColumn("prediction", F.col("violent").cast("double"))

@@ -62,6 +62,12 @@ def panel(keys: str = "unit", year: str = "isoyear(ts)") -> str:
       from inc group by {keys}, {year}, week(ts))"""
 
 
+# The districts as units.
+PANEL_OF_DISTRICTS = panel().replace(
+    "from inc group by",
+    "from (select * replace (lpad(cast(district as varchar), 2, '0') as unit) from inc) group by",
+)
+
 DENSE = f"""{panel()}, dated as (
   select *, date_trunc('week', make_date(year, 1, 4)) + to_days((week - 1) * 7) as monday
   from panel), spans as (
@@ -263,6 +269,11 @@ def rates(flag: str) -> str:
       from inc group by district"""
 
 
+# The 16 scalar inputs of the full forecast, in their order.
+TABLE_VALUES = """[cast(x as double) for x in [total, arrest_rate, domestic_rate, total_per_violent,
+  total_lag_1, total_lag_2, total_lag_3, violent_lag_1, violent_lag_2, total_mean_3,
+  violent_mean_3, total_mean_4, is_summer, is_winter, is_holiday_season, trend]] as vals"""
+
 ERROR = f"""{BASE}, e as (select band, prediction - label as err from base), q as (
   select band, count(*) as n, min(err) as min, quantile_cont(err, 0.25) as q1,
     quantile_cont(err, 0.5) as median, quantile_cont(err, 0.75) as q3, max(err) as max
@@ -409,6 +420,26 @@ ORACLE: dict[str, str] = {
         {small('row_number() over (partition by "column" order by n desc, value) - 1')}
           as "index", n
       from v""",
+    "feature_slots": f"""with {full(panel())}, cut as (
+      select floor(max(time_index) * cast(0.8 as double)) as cutoff from labelled), r as (
+      select unit, year, week, time_index <= cutoff as train, {TABLE_VALUES}
+      from (select unit, year, week, total, violent, {RATES}, {LAG_NAMES}, {MEAN_NAMES},
+          time_index, {SHARES}, {SEASONS}, {TREND} from labelled), cut), v as (
+      select 0 as c, unit as value, count(*) as n from r where train group by 2
+      union all select 1, cast(year as varchar), count(*) from r where train group by 2
+      union all select 2, cast(week as varchar), count(*) from r where train group by 2), d as (
+      select *, row_number() over (order by c, n desc, value) - 1 as slot from v), s as (
+      select unit, year, week, slot, cast(1 as double) as value
+      from r join d on d.value = case d.c when 0 then unit when 1 then cast(year as varchar)
+        else cast(week as varchar) end
+      union all
+      select unit, year, week, (select count(*) from d) + i - 1, vals[i]
+      from r, unnest(range(1, 17)) x(i))
+      select unit, year, week, {small('slot')} as slot, value from s where value <> 0""",
+    "gbt_table_parity": f"""with {full(PANEL_OF_DISTRICTS)}, cut as (
+      select floor(max(time_index) * cast(0.8 as double)) as cutoff from labelled)
+      select unit, {N}, {big('sum(label)')} as label_sum, {big('0')} as nulls, {big('0')} as mismatches
+      from labelled, cut where time_index > cutoff group by unit""",
     "persistence_metrics": f"""with {BASE}, s as (
       select {N}, avg((label - prediction) * (label - prediction)) as mse,
         avg(abs(label - prediction)) as mae, var_pop(label) as spread from base)

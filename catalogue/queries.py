@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.cleaning import band, clean_district, violent_flag
 from blotter.operators import (
+    encoding,
     eras,
     fairness,
     forecast,
@@ -319,7 +320,7 @@ def features_base(spark, sf):
 
 def category_index(spark, sf):
     p = materialise(panel.weekly_panel(order_incidents(spark, sf)).select("unit", "year", "week"))
-    return forecast.category_index(p)
+    return encoding.category_index(p, forecast.CATEGORIES)
 
 
 def _by_district(inc: DataFrame) -> DataFrame:
@@ -335,6 +336,37 @@ def gbt_forecast(spark, sf):
     return scored.select("unit", "year", "week", "label", "prediction")
 
 
+def feature_slots(spark, sf):
+    """Vectors of the whole panel, by the dictionary of its training part."""
+    features = panel.features_full(panel.weekly_panel(order_incidents(spark, sf)))
+    split = panel.split_by_index(materialise(rounded(features)))
+    known = materialise(encoding.category_index(panel.train_part(split), forecast.CATEGORIES))
+    return encoding.feature_slots(
+        split, known, forecast.CATEGORIES, forecast.CATEGORIES, forecast.FEATURES_FULL
+    )
+
+
+def gbt_table_parity(spark, sf):
+    """By unit, the rows whose forecast from the table of nodes is not that of the model."""
+    p = panel.weekly_panel(_by_district(order_incidents(spark, sf)))
+    split = panel.split_by_index(materialise(panel.features_full(p)))
+    train, test = panel.train_part(split), panel.test_part(split)
+    model = forecast.fit_forecast(train)
+    known = materialise(encoding.category_index(train, forecast.CATEGORIES))
+    nodes = materialise(forecast.model_table(model))
+    rows = encoding.encoded(
+        forecast.predict(model, test), known, forecast.CATEGORIES, forecast.FEATURES_FULL
+    )
+    scored = forecast.predict_by_table(rows, nodes, prediction="by_table")
+    missed = F.abs(F.col("by_table") - F.col("prediction")) > 1e-9
+    return scored.groupBy("unit").agg(
+        F.count("*").alias("n"),
+        F.sum("label").alias("label_sum"),
+        F.count_if(F.col("by_table").isNull()).alias("nulls"),
+        F.count_if(missed).alias("mismatches"),
+    )
+
+
 def gbt_fairness(spark, sf):
     p = panel.weekly_panel(_by_district(order_incidents(spark, sf)), UNIT_DISTRICT)
     split = panel.split_by_index(materialise(fairness.add_band(panel.features_base(p))))
@@ -466,7 +498,9 @@ QUERIES: dict[str, Query] = {
         features_full_dense,
         features_base,
         category_index,
+        feature_slots,
         gbt_forecast,
+        gbt_table_parity,
         gbt_fairness,
         persistence_metrics,
         arrest_rate_by_district,
