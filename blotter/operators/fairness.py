@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.cleaning import band, pct
 from blotter.roles import ROLES
+from blotter.runtime import materialise
 
 # Upper ends of the district bands.
 DISTRICT_CUTS = ((8, "North"), (16, "Central"))
@@ -90,86 +91,130 @@ def value_counts(df: DataFrame, group: str, value: Column) -> DataFrame:
     )
 
 
-def _bin(bins: int) -> Column:
-    """Bin number that never falls as the value rises, from value, lo and hi.
+#: Values of a bracket that one task sorts, and the parts a larger one is cut into.
+SMALL_BRACKET = 10_000
+CUTS = 64
 
-    It adds an even bin between ``lo`` and ``hi`` to a bin of the sign and
-    logarithm of the value. The second keeps the many values near zero apart
-    where a few large ones stretch the range. Only the exact extremes enter,
-    so a recomputed task places every value as before.
+
+def _wanted_between(first: str, last: str) -> Column:
+    """The wanted ranks from ``first`` to before ``last``."""
+    return F.filter("ranks", lambda x: (x["rank"] >= F.col(first)) & (x["rank"] < F.col(last)))
+
+
+def _refined(rows: DataFrame, brackets: DataFrame, small: int, cuts: int) -> tuple[DataFrame, DataFrame]:
+    """One round: cut the large brackets, keep the parts that hold a wanted rank.
+
+    ``rows`` are (key, bracket, value, n), ``brackets`` (key, bracket, before,
+    size, ranks), with ``size`` distinct values and ``before`` rows below. The
+    cuts are values of the bracket itself, taken at even steps of its distinct
+    values by a sketch that is merged from all tasks, so that the parts are of
+    like size however the values are spread.
     """
-    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
-    largest = F.greatest(F.abs(lo), F.abs(hi))
-    even = F.floor((value - lo) / (hi - lo) * bins)
-    steps = F.floor(F.signum(value) * F.log1p(F.abs(value) / largest * 1e6) * (bins / 28))
-    return F.when(hi > lo, even + steps).otherwise(0).cast("int")
+    own = ["key", "bracket"]
+    steps = F.array(*[F.lit((i + 1) / cuts) for i in range(cuts - 1)])
+    large = brackets.filter(F.col("size") > small).select(*own)
+    cut_at = rows.join(large, own).groupBy(*own).agg(
+        F.array_distinct(F.percentile_approx("value", steps, F.lit(100 * cuts))).alias("cuts")
+    )
+    part = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("value"))), F.lit(0))
+    # The cuts have one row per large bracket, and AQE broadcasts them by their
+    # real size; else it splits the rows of a hot one.
+    cut = materialise(
+        rows.join(cut_at, own, "left").select(*own, part.alias("part"), "value", "n"), "brackets"
+    )
+    below = Window.partitionBy(*own).orderBy("part")
+    parts = (
+        cut.groupBy(*own, "part")
+        .agg(F.sum("n").alias("part_n"), F.count("*").alias("size"))
+        .withColumn("upto", F.sum("part_n").over(below))
+        .join(brackets.drop("size"), own)
+        .withColumns({"before": F.col("before") + F.col("upto") - F.col("part_n"), "last": F.col("before") + F.col("upto")})
+        .withColumn("ranks", _wanted_between("before", "last"))
+        .filter(F.size("ranks") > 0)
+    )
+    # A bracket is named by its parts so far, so that names stay apart.
+    deeper = F.concat_ws(".", "bracket", F.col("part").cast("string"))
+    kept = materialise(
+        parts.select("key", "bracket", "part", deeper.alias("deeper"), "before", "size", "ranks"), "parts"
+    )
+    survivors = cut.join(kept.select(*own, "part", "deeper"), [*own, "part"]).select(
+        "key", F.col("deeper").alias("bracket"), "value", "n"
+    )
+    return survivors, kept.select("key", F.col("deeper").alias("bracket"), "before", "size", "ranks")
 
 
 def exact_quantiles(
-    counts: DataFrame, probs: Sequence[float], bins: int = 1024, group: str = "key"
+    counts: DataFrame,
+    probs: Sequence[float],
+    small: int = SMALL_BRACKET,
+    cuts: int = CUTS,
+    group: str = "key",
 ) -> DataFrame:
     """Exact interpolated quantiles of weighted values, for groups of any size.
 
-    ``counts`` holds (key, value, n), as ``value_counts`` gives it. Values fall
-    into ordered bins of their group (``_bin``); the bin counts, at most two
-    times ``bins`` rows per group, tell which bin holds each wanted rank, and
-    only the values of those bins are sorted, each bin by itself. No group is
-    ever held or sorted by one task. One row per group: the key, ``min_value``,
-    ``max_value``, ``n`` and ``quantiles``, in the order of ``probs``.
+    ``counts`` holds (key, value, n), as ``value_counts`` gives it; it is read
+    several times: pass it materialised. A group starts as one bracket. In every round the rows are counted by bracket, and
+    only brackets that hold a wanted rank go on; those with more than ``small``
+    distinct values are cut into about ``cuts`` parts of like size, at values
+    taken from the data. So a round leaves a small part of the one before, the
+    number of rounds grows with the logarithm of the largest group, and in the
+    end a task sorts at most ``small`` values of a bracket, whatever the spread
+    of the values. The driver learns the size of the largest bracket only.
+
+    One row per group: the key, ``min_value``, ``max_value``, ``n`` and
+    ``quantiles``, in the order of ``probs``. A group without values has none.
     """
-    ranges = counts.groupBy(group).agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("size")
+    if cuts < 2 or small < cuts:
+        raise ValueError("a large bracket must be cut, into no more parts than a small one has values")
+    rows = counts.select(F.col(group).alias("key"), F.lit("").alias("bracket"), "value", "n")
+    groups = materialise(
+        rows.groupBy("key").agg(
+            F.min("value").alias("lo"),
+            F.max("value").alias("hi"),
+            F.sum("n").alias("total"),
+            F.count("*").alias("size"),
+        ),
+        "groups",
     )
-    of_group = [group, "lo", "hi", "size"]
-    placed = counts.join(ranges, group).withColumn("bin", _bin(bins))
-
-    def wanted_between(first: str, last: str, ranks: Column) -> Column:
-        return F.filter(
-            ranks, lambda x: (x["rank"] >= F.col(first)) & (x["rank"] < F.col(last))
-        )
-
     # Each quantile lies between two ranks (which may be the same).
-    targets = [
-        F.struct(F.lit(i).alias("i"), side(F.lit(float(p)) * (F.col("size") - 1)).alias("rank"))
-        for i, p in enumerate(probs)
-        for side in (F.floor, F.ceil)
-    ]
-    by_bin = Window.partitionBy(group).orderBy("bin")
-    marked = (
-        placed.groupBy(*of_group, "bin")
-        .agg(F.sum("n").alias("bin_n"))
-        .withColumn("upto", F.sum("bin_n").over(by_bin))
-        .withColumn("before", F.col("upto") - F.col("bin_n"))
-        .select(
-            group,
-            "bin",
-            "before",
-            wanted_between("before", "upto", F.array(*targets)).alias("ranks"),
-        )
-        .filter(F.size("ranks") > 0)
+    targets = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), side(F.lit(float(p)) * (F.col("total") - 1)).alias("rank"))
+            for i, p in enumerate(probs)
+            for side in (F.floor, F.ceil)
+        ]
     )
+    brackets = groups.select(
+        "key", F.lit("").alias("bracket"), F.lit(0).cast("bigint").alias("before"), "size", targets.alias("ranks")
+    )
+    while (brackets.agg(F.max("size")).first()[0] or 0) > small:
+        rows, brackets = _refined(rows, brackets, small, cuts)
 
-    in_bin = Window.partitionBy(group, "bin").orderBy("value")
+    in_bracket = Window.partitionBy("key", "bracket").orderBy("value")
     found = (
-        placed.join(marked, [group, "bin"])
-        .withColumn("last", F.col("before") + F.sum("n").over(in_bin))
+        rows.join(brackets, ["key", "bracket"])
+        .withColumn("last", F.col("before") + F.sum("n").over(in_bracket))
         .withColumn("first", F.col("last") - F.col("n"))
-        .select(*of_group, "value", F.inline(wanted_between("first", "last", F.col("ranks"))))
+        .select("key", "value", F.inline(_wanted_between("first", "last")))
     )
 
     def quantile(i: int, p: float) -> Column:
         mine = F.when(F.col("i") == i, F.col("value"))
-        at = F.lit(float(p)) * (F.col("size") - 1)
+        at = F.lit(float(p)) * (F.col("total") - 1)
         return F.min(mine) + (F.max(mine) - F.min(mine)) * (at - F.floor(at))
 
-    return found.groupBy(*of_group).agg(
-        F.array(*[quantile(i, p) for i, p in enumerate(probs)]).alias("quantiles")
-    ).select(
-        group,
-        F.col("lo").alias("min_value"),
-        F.col("hi").alias("max_value"),
-        F.col("size").alias("n"),
-        "quantiles",
+    of_group = ["key", "lo", "hi", "total"]
+    return (
+        found.join(groups.drop("size"), "key")
+        .groupBy(*of_group)
+        .agg(F.array(*[quantile(i, p) for i, p in enumerate(probs)]).alias("quantiles"))
+        .select(
+            F.col("key").alias(group),
+            F.col("lo").alias("min_value"),
+            F.col("hi").alias("max_value"),
+            F.col("total").alias("n"),
+            "quantiles",
+        )
     )
 
 
@@ -184,7 +229,7 @@ def error_quartiles(
     Whiskers are the last values within 1.5 times the interquartile range of
     the box; ``outliers`` counts the rows beyond them.
     """
-    counts = value_counts(predictions, group, F.col(prediction) - F.col(label))
+    counts = materialise(value_counts(predictions, group, F.col(prediction) - F.col(label)), "errors")
     box = exact_quantiles(counts, (0.25, 0.5, 0.75)).select(
         "key",
         F.col("n").alias("size"),

@@ -73,13 +73,13 @@ def groups():
     }
 
 
-@pytest.mark.parametrize("bins", [4, 1024])
-def test_quantiles_equal_brute_force(spark, bins):
+@pytest.mark.parametrize(("small", "cuts"), [(4, 2), (50, 8), (10_000, 64)])
+def test_quantiles_equal_brute_force(spark, small, cuts):
     data = groups()
     rows = [(g, v) for g, vs in data.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, v double").repartition(6)
     probs = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
-    got = fr.exact_quantiles(fr.value_counts(df, "g", F.col("v")), probs, bins=bins).collect()
+    got = fr.exact_quantiles(fr.value_counts(df, "g", F.col("v")), probs, small, cuts).collect()
     assert len(got) == len(data)
     for row in got:
         values = data[row.key.g]
@@ -87,15 +87,23 @@ def test_quantiles_equal_brute_force(spark, bins):
         assert row.quantiles == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
 
 
-def test_bins_keep_the_order_of_the_values(spark):
-    """Also where a tail would put all small values into one even bin."""
-    values = sorted(groups()["tail"])
-    df = spark.createDataFrame([(v,) for v in values], "value double").withColumns(
-        {"lo": F.lit(values[0]), "hi": F.lit(values[-1])}
+def test_no_bracket_keeps_many_of_skewed_values(spark):
+    """Nearly all values in a thin band far from one outlier: even bins would gather them."""
+    n = 20_000
+    df = spark.range(n).select(F.struct(F.lit("g").alias("g")).alias("key"), (1e6 + F.col("id") * 1e-3).alias("value"), F.lit(1).cast("bigint").alias("n"))
+    outlier = spark.range(1).select(F.struct(F.lit("g").alias("g")).alias("key"), F.lit(0.0).alias("value"), F.lit(1).cast("bigint").alias("n"))
+    counts = df.union(outlier).repartition(8)
+    rows = counts.withColumn("bracket", F.lit(""))
+    ranks = F.array(F.struct(F.lit(0).alias("i"), F.lit(n // 2).cast("bigint").alias("rank")))
+    start = counts.groupBy("key").agg(F.count("*").alias("size")).withColumns(
+        {"bracket": F.lit(""), "before": F.lit(0).cast("bigint"), "ranks": ranks}
     )
-    bins = [r.bin for r in df.orderBy("value").select(fr._bin(1024).alias("bin")).collect()]
-    assert bins == sorted(bins)
-    assert max(bins.count(b) for b in set(bins)) < len(values) / 2
+    left, brackets = fr._refined(rows, start, 500, 64)
+    assert left.count() == brackets.first()["size"] < 3 * n / 64
+    assert brackets.count() == 1
+    got = fr.exact_quantiles(counts, (0.25, 0.5), 100, 16).first()
+    values = [0.0] + [1e6 + i * 1e-3 for i in range(n)]
+    assert got.quantiles == pytest.approx(list(np.quantile(values, (0.25, 0.5))), rel=1e-15)
 
 
 def test_box_plot_figures(spark):
