@@ -3,7 +3,8 @@
     spark-submit --py-files blotter.zip analyse.py prepare  raw.csv  incidents/
     spark-submit --py-files blotter.zip analyse.py temporal incidents/ results/
 
-``prepare`` reads the raw CSV and writes the typed table, partitioned by year.
+``prepare`` reads the raw CSV and writes the typed table, partitioned by year,
+and malformed rows beside it, in a folder whose name ends in ``_rejected``.
 The other analyses read that table, or the CSV if its name ends in ``.csv``.
 """
 
@@ -17,10 +18,10 @@ from blotter.plans.arrest_patterns import arrest_patterns
 from blotter.plans.fairness_audit import fairness_audit
 from blotter.plans.forecasting import forecast_next_week
 from blotter.plans.geography import geography
+from blotter.plans.prepare import prepare
 from blotter.plans.temporal import temporal_report
 from blotter.roles import Roles
 from blotter.sources.incidents import normalise, read_incidents_csv
-from blotter.sources.sinks import write_parquet
 
 ANALYSES = {
     "arrests": arrest_patterns,
@@ -43,6 +44,7 @@ def main() -> None:
     parser.add_argument("analysis", choices=["prepare", *ANALYSES])
     parser.add_argument("input", help="raw CSV or typed parquet table")
     parser.add_argument("output", help="folder for the results")
+    parser.add_argument("--mixed", action="store_true", help="prepare: the files' headers differ")
     args = parser.parse_args()
 
     spark = (
@@ -51,7 +53,8 @@ def main() -> None:
         .getOrCreate()
     )
     if args.analysis == "prepare":
-        write_parquet(normalise(read_incidents_csv(spark, args.input)), args.output)
+        counts = prepare(spark, args.input, args.output, f"{args.output.rstrip('/')}_rejected", mixed=args.mixed)
+        print(counts)
     else:
         incidents, roles = load(spark, args.input)
         for name, result in ANALYSES[args.analysis](incidents, args.output, roles=roles).items():

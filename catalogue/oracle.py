@@ -370,6 +370,12 @@ ORACLE: dict[str, str] = {
     "tsv_roundtrip": f"""with {ORDERS} select unit, {YEAR} as year, {N} from inc
       where year(ts) >= 1995 group by 1, 2""",
     "csv_roundtrip": f"with {ORDERS} {TYPED}",
+    "csv_mixed_headers": f"""with {ORDERS} {TYPED.replace('domestic from', 'case when id % 3 < 2 then domestic end as domestic from')}""",
+    "malformed_rows": f"""with {ORDERS}
+      select id, case when good then unit end as unit, case when good then district end as district,
+        case when id % 97 = 0 then 'too few fields' when id % 89 = 0 then 'too many fields' else '' end as reason,
+        {small('case when id % 97 = 0 then 5 when id % 89 = 0 then 9 else 8 end')} as fields
+      from (select *, id % 97 <> 0 and id % 89 <> 0 as good from inc)""",
     "parquet_roundtrip": f"""with {ORDERS} {TYPED.replace(' from inc', f', {YEAR} as year from inc')}""",
     "text_roundtrip": report_lines(),
     "clean_text_fields": f"with {ORDERS} {TYPED}",

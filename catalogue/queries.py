@@ -21,14 +21,21 @@ from blotter.operators import (
 from blotter.operators.ranking import top_k
 from blotter.roles import Era
 from blotter.runtime import materialise, scratch_path
-from blotter.sources.incidents import normalise, read_incidents_csv
+from blotter.sources.incidents import (
+    normalise,
+    read_incidents_csv,
+    read_mixed_csv,
+    read_with_rejects,
+)
 from blotter.sources.sinks import write_csv, write_parquet, write_text, write_tsv
 from catalogue.fixtures import (
     ORDER_VIOLENT,
+    cut_lines,
     dated_orders,
     event_incidents,
     order_incidents,
     raw_text,
+    write_lines,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,6 +208,29 @@ def csv_roundtrip(spark, sf):
     return normalise(read_incidents_csv(spark, path), ORDER_VIOLENT)
 
 
+def csv_mixed_headers(spark, sf):
+    """The raw rows in files of three headers: as they are, turned round, and one column other."""
+    path = scratch_path(spark, "mixed")
+    text = raw_text(order_incidents(spark, sf))
+    part = F.col("ID").cast("bigint") % 3
+    for k, columns in enumerate((text.columns, text.columns[::-1], [c for c in text.columns if c != "Domestic"] + ["Ward"])):
+        rows = text.withColumn("Ward", F.lit("7")).filter(part == k)
+        write_csv(rows.select(*[f"`{c}`" for c in columns]), path, mode="append")
+    return normalise(read_mixed_csv(spark, path), ORDER_VIOLENT)
+
+
+def malformed_rows(spark, sf):
+    """Every row of a file with cut lines: typed, or rejected with its reason."""
+    path = scratch_path(spark, "cut-lines")
+    write_lines(cut_lines(order_incidents(spark, sf)), path)
+    good, rejects = read_with_rejects(spark, path)
+    kept = normalise(good, ORDER_VIOLENT).select(
+        "id", "unit", "district", F.lit("").alias("reason"), F.lit(len(good.columns)).alias("fields")
+    )
+    record_id = F.split("record", ",")[0].try_cast("bigint").alias("id")
+    return kept.unionByName(rejects.select(record_id, "reason", "fields"), allowMissingColumns=True)
+
+
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "parquet")
     write_parquet(order_incidents(spark, sf), path)
@@ -478,6 +508,8 @@ QUERIES: dict[str, Query] = {
         paired_t,
         tsv_roundtrip,
         csv_roundtrip,
+        csv_mixed_headers,
+        malformed_rows,
         parquet_roundtrip,
         text_roundtrip,
         clean_text_fields,
