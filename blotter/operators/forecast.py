@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.operators.encoding import slot_value
-from blotter.runtime import scratch_path
+from blotter.operators.fairness import add_weights, group_weights
+from blotter.runtime import materialise, scratch_path
 
 CATEGORIES = ("unit", "year", "week")
 
@@ -109,6 +110,35 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows)
 
 
+def out_of_fold(
+    rows: DataFrame,
+    group: str,
+    series: Sequence[str] = ("unit",),
+    folds: int = 3,
+    **options,
+) -> DataFrame:
+    """Every row with the forecast of a model that never saw its series.
+
+    The hash of a series decides its fold. For each fold one model is fitted
+    on the others, with weights that give every ``group`` the same total, and
+    its forecasts are added to one stored table, which is returned with
+    ``fold`` and ``prediction``. ``rows`` is read once per fold and more: pass
+    it materialised. ``options`` go to ``fit_forecast``.
+    """
+    if folds < 2:
+        raise ValueError("a row must be left out of at least one fit: two folds or more")
+    kept = rows.columns
+    dealt = rows.withColumn("fold", F.pmod(F.xxhash64(*series), F.lit(folds)).cast("int"))
+    path = scratch_path(rows.sparkSession, "folds")
+    for fold in range(folds):
+        others = dealt.filter(F.col("fold") != fold)
+        train = materialise(add_weights(others, group_weights(others, group), group), "fold-train")
+        model = fit_forecast(train, weight_col="weight", **options)
+        scored = predict(model, dealt.filter(F.col("fold") == fold))
+        scored.select(*kept, "fold", "prediction").write.mode("append").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def model_table(model: PipelineModel) -> DataFrame:
     """The fitted trees as rows (tree, node, feature, threshold, left, right, value, weight).
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from blotter.functions.calendar import week_keys, week_monday
 from blotter.functions.cleaning import zero_if_null
 from blotter.roles import ROLES, Roles
+from blotter.runtime import materialise
 
 TIME_KEYS = ("year", "week")
 
@@ -68,6 +69,52 @@ def densify(panel: DataFrame, keys: Sequence[str] = (ROLES.unit,)) -> DataFrame:
     )
 
 
+def week_calendar(df: DataFrame, week_mode: str = "iso", roles: Roles = ROLES) -> DataFrame:
+    """The week keys of all days from the first incident to the last.
+
+    Rows (year, week, position, monday): ``position`` numbers the keys in their
+    order, ``monday`` is the Monday of a key's earliest day. Calendar keys need
+    it: week 53 of 2005 holds the first two days of that year and yet comes
+    last, and week 1 of 2018 holds its last day as well. The table has one row
+    per week, so one task can number it; the incidents give it two dates.
+    """
+    span = df.agg(F.min(F.to_date(roles.ts)).alias("first"), F.max(F.to_date(roles.ts)).alias("last"))
+    days = span.filter(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("day"))
+    year, week = week_keys("day", week_mode)
+    keys = days.groupBy(year.alias("year"), week.alias("week")).agg(
+        F.min(F.trunc("day", "week")).alias("monday")
+    )
+    position = F.row_number().over(Window.orderBy(*TIME_KEYS)) - 1
+    return materialise(keys.select(*TIME_KEYS, position.alias("position"), "monday"), "calendar")
+
+
+def add_calendar(panel: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Carry ``position`` and ``monday`` of each row's week."""
+    return panel.join(calendar, list(TIME_KEYS))
+
+
+def densify_by_calendar(
+    panel: DataFrame, calendar: DataFrame, keys: Sequence[str] = (ROLES.unit,)
+) -> DataFrame:
+    """Add zero rows for the weeks of the calendar that a series skips.
+
+    For week keys of any mode; ``densify`` needs no calendar but ISO keys. The
+    result carries ``position`` and ``monday``.
+    """
+    values = [c for c in panel.columns if c not in (*keys, *TIME_KEYS)]
+    dated = panel.join(calendar.select(*TIME_KEYS, F.col("position").alias("_own")), list(TIME_KEYS))
+    following = F.lead("_own").over(Window.partitionBy(*keys).orderBy("_own"))
+    filled = dated.withColumn("_last", F.coalesce(following - 1, F.col("_own"))).withColumn(
+        "position", F.explode(F.sequence("_own", "_last"))
+    )
+    seen = F.col("position") == F.col("_own")
+    return (
+        filled.select(*keys, "position", *[F.when(seen, F.col(c)).otherwise(0).alias(c) for c in values])
+        .join(calendar, "position")
+        .select(*keys, *TIME_KEYS, *values, "position", "monday")
+    )
+
+
 def lag_columns(col: str, steps: Sequence[int], w: WindowSpec) -> dict[str, Column]:
     return {f"{col}_lag_{k}": F.lag(col, k, 0).over(w) for k in steps}
 
@@ -182,9 +229,10 @@ def split_by_date(features: DataFrame, fraction: float = 0.8) -> DataFrame:
     """Mark rows by a date that is the same for every series.
 
     The cutoff lies that fraction of the way from the first week to the last.
-    Needs ISO week keys.
+    The date of a row is its ``monday`` if it carries one (``add_calendar``),
+    else that of its ISO week.
     """
-    monday = week_monday("year", "week")
+    monday = F.col("monday") if "monday" in features.columns else week_monday("year", "week")
     days = F.date_diff(F.max(monday), F.min(monday)) * F.lit(float(fraction))
     cutoff = features.agg(F.date_add(F.min(monday), F.floor(days).cast("int"))).scalar()
     return _mark(features, monday <= cutoff)

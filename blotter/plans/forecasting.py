@@ -14,12 +14,15 @@ from blotter.operators.forecast import (
     regression_metrics,
 )
 from blotter.operators.panel import (
+    add_calendar,
     densify,
+    densify_by_calendar,
     features_full,
     split_by_date,
     split_by_index,
     test_part,
     train_part,
+    week_calendar,
     weekly_panel,
 )
 from blotter.roles import ROLES, VIOLENT_14, Roles
@@ -43,14 +46,18 @@ def forecast_next_week(
     """Named results: ``predictions`` on the test rows and their ``metrics``.
 
     The panel with its features is stored once; the fit and the prediction
-    read it many times and never go back to the incidents. Calendar weeks
-    restart every year, so they can be neither densified nor cut at a date.
+    read it many times and never go back to the incidents. Calendar weeks are
+    densified and cut at a date by a calendar of their Mondays.
     """
-    if week_mode == "calendar" and (dense or split == "date"):
-        raise ValueError("dense weeks and a split by date need week_mode='iso'")
     flagged = incidents.withColumn(roles.violent, violent_flag(roles.category, violent))
     panel = weekly_panel(flagged, [roles.unit], week_mode, roles)
-    if dense:
+    if week_mode == "calendar" and (dense or split == "date"):
+        calendar = week_calendar(flagged, week_mode, roles)
+        if dense:
+            panel = densify_by_calendar(panel, calendar, [roles.unit])
+        else:
+            panel = add_calendar(panel, calendar)
+    elif dense:
         panel = densify(panel, [roles.unit])
     features = materialise(features_full(panel, [roles.unit]))
     marked = SPLITS[split](features, fraction)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.operators.eras import era_means, paired_t
-from blotter.operators.places import hotspots, pairwise_corr
+from blotter.operators.places import hotspots, pairwise_corr, strongest_first
 from blotter.roles import MAYOR_ERAS, ROLES, Era, Roles
 from blotter.runtime import materialise
 from blotter.sources.sinks import write_text, write_tsv
@@ -25,8 +25,8 @@ def geography(
     """Named results: ``hotspots``, ``correlations``, ``era_means``, ``paired_t``.
 
     ``eras`` are two; the statistic is that of the first minus the second. The
-    short results are stored, so that writing and then showing them does not
-    read the incidents twice.
+    results are stored, so that writing and then showing them does not compute
+    them twice.
     """
     first, second = eras
     means = materialise(era_means(incidents, roles.district, eras, roles))
@@ -34,7 +34,9 @@ def geography(
         "hotspots": materialise(
             hotspots(incidents, roles.block, hotspots_since, roles=roles)
         ),
-        "correlations": pairwise_corr(incidents, roles.unit, years, digits=4, roles=roles),
+        "correlations": strongest_first(
+            materialise(pairwise_corr(incidents, roles.unit, years, digits=4, ordered=False, roles=roles))
+        ),
         "era_means": means,
         "paired_t": paired_t(means, first.label, second.label),
     }

@@ -175,6 +175,36 @@ def correlation(same_prefix: bool) -> str:
       group by 1, 2"""
 
 
+YEAR_COUNTS = ", ".join(f"count(*) filter (where year(ts) = {y})" for y in YEARS)
+# Profiles of customers: yearly counts shifted to mean 0 and scaled to length 1.
+STRONG_PAIRS = f"""with {ORDERS}, c as (
+    select block, [{YEAR_COUNTS}] as n from inc where year(ts) >= {min(YEARS)} group by 1), d as (
+    select block, list_transform(n, lambda x: x - list_sum(n) / cast(len(n) as double)) as d from c), z as (
+    select block, list_transform(d, lambda x: x / sqrt(list_dot_product(d, d))) as z
+    from d where list_max(d) > list_min(d)), p as (
+    select a.block as u1, b.block as u2,
+      {r('greatest(-1, least(1, list_dot_product(a.z, b.z)))', 6)} as r
+    from z a join z b on a.block < b.block)
+    select u1, u2, r from p where abs(r) >= 0.99"""
+
+
+def t_test(table: str, by: str = "", digits: int = 4) -> str:
+    """Paired test of a and b; p by the closed form for whole degrees of freedom."""
+    # Products of even over odd numbers, or of odd over even ones, times powers of the cosine.
+    term = """list_sum(list_transform(range({0}), lambda k: coalesce(list_product(list_transform(range(1, k + 1),
+      lambda j: (2 * j - {1}) / cast(2 * j + 1 - {1} as double) * cos_ * cos_)), 1)))"""
+    odd, even = term.format("cast((df - 1) // 2 as bigint)", 0), term.format("cast(df // 2 as bigint)", 1)
+    keys = f"{by}, " if by else ""
+    return f"""s as (
+      select {keys}{N}, avg(a - b) as mean_diff,
+        avg(a - b) / (stddev_samp(a - b) / sqrt(count(*))) as t, {big('count(*) - 1')} as df
+      from {table} {'group by ' + by if by else ''}), x as (
+      select *, atan(abs(t) / sqrt(df)) as th, cos(atan(abs(t) / sqrt(df))) as cos_ from s)
+      select {keys}n, {r('mean_diff', digits)} as mean_diff, {r('t', digits)} as t, df,
+        {r(f"1 - case when df % 2 = 1 then 2 / pi() * (th + sin(th) * cos_ * coalesce({odd}, 0)) else sin(th) * {even} end", digits)} as p
+      from x"""
+
+
 ERA = "case when year(ts) <= 1998 then 'early' else 'late' end"
 MEANS_OF_ERAS = f"""{ORDERS}, means as (
   select district, count(*) filter (where year(ts) between 1995 and 1998) / cast(4 as double)
@@ -269,6 +299,16 @@ def rates(flag: str) -> str:
       from inc group by district"""
 
 
+# Week keys of every day between the first incident and the last, numbered.
+CALENDAR_WEEKS = f"""{panel(year='year(ts)')}, days as (
+  select cast(unnest(generate_series(min(date_trunc('day', ts)), max(date_trunc('day', ts)), interval 1 day))
+    as date) as day from inc), keys as (
+  select {small('year(day)')} as year, {small('week(day)')} as week,
+    cast(min(date_trunc('week', day)) as date) as monday,
+    row_number() over (order by year(day), week(day)) as position
+  from days group by year(day), week(day)), dated as (
+  select p.*, k.monday, k.position from panel p join keys k on p.year = k.year and p.week = k.week)"""
+
 # The 16 scalar inputs of the full forecast, in their order.
 TABLE_VALUES = """[cast(x as double) for x in [total, arrest_rate, domestic_rate, total_per_violent,
   total_lag_1, total_lag_2, total_lag_3, violent_lag_1, violent_lag_2, total_mean_3,
@@ -357,6 +397,7 @@ ORACLE: dict[str, str] = {
     + " from inc where year(ts) >= 1995 group by 1",
     "pair_correlation": correlation(same_prefix=True),
     "pair_correlation_full": correlation(same_prefix=False),
+    "strong_pairs": STRONG_PAIRS,
     "hierarchy_counts": f"""with {ORDERS} select district, unit, block, {N},
       {small('3 - grouping(district) - grouping(unit) - grouping(block)')} as level
       from inc group by rollup (district, unit, block)""",
@@ -364,9 +405,16 @@ ORACLE: dict[str, str] = {
       from inc where year(ts) between 1995 and 2001 group by 1, 2""",
     "era_means": f"""with {MEANS_OF_ERAS}
       select district, {r('early')} as early, {r('late')} as late from means""",
-    "paired_t": f"""with {MEANS_OF_ERAS} select {N}, {r('avg(early - late)', 4)} as mean_diff,
-      {r('avg(early - late) / (stddev_samp(early - late) / sqrt(count(*)))', 4)} as t
-      from means""",
+    "era_counts_many": f"""with {ORDERS}, e as (
+      select n_name as era, case when n_nationkey % 7 <> 0 then 1992 + n_nationkey % 8 else 0 end as first_,
+        case when n_nationkey % 5 <> 0 then 1992 + n_nationkey % 8 + n_nationkey % 4 else 9999 end as last_
+      from nation)
+      select district, era, {N} from inc join e on year(ts) between first_ and last_ group by 1, 2""",
+    "paired_t": f"with {MEANS_OF_ERAS}, ab as (select early as a, late as b from means), {t_test('ab')}",
+    "paired_t_by_category": f"""with {ORDERS}, ab as (
+      select category, district, count(*) filter (where year(ts) between 1995 and 1996) as a,
+        count(*) filter (where year(ts) between 1997 and 1998) as b
+      from inc group by 1, 2), {t_test('ab', 'category', 9)}""",
     "tsv_roundtrip": f"""with {ORDERS} select unit, {YEAR} as year, {N} from inc
       where year(ts) >= 1995 group by 1, 2""",
     "csv_roundtrip": f"with {ORDERS} {TYPED}",
@@ -400,6 +448,18 @@ ORACLE: dict[str, str] = {
     "panel_shares": f"with {panel()} select unit, year, week, {SHARES} from panel",
     "panel_dense": f"""with {DENSE}
       select unit, year, week, total, violent, {RATES} from dense""",
+    "panel_dense_calendar": f"""with {CALENDAR_WEEKS}, spans as (
+      select unit, min(position) as first_, max(position) as last_ from dated group by 1)
+      select s.unit, k.year, k.week, coalesce(d.total, 0) as total, coalesce(d.violent, 0) as violent,
+        {r('coalesce(d.arrest_rate, 0)')} as arrest_rate, {r('coalesce(d.domestic_rate, 0)')} as domestic_rate,
+        k.monday
+      from spans s join keys k on k.position between s.first_ and s.last_
+      left join dated d on d.unit = s.unit and d.position = k.position""",
+    "panel_split_calendar": f"""with {full(CALENDAR_WEEKS, 'dated').replace('dated as (', 'weeks as (', 1).replace('from dated)', 'from weeks)')},
+      dated as (select * from labelled), {DATED_SPLIT}
+      select unit, year, week, label, time_index,
+        case when monday <= cutoff then 'train' else 'test' end as split
+      from dated, cut""",
     "panel_split": f"""with {full(panel())}, cut as (
       select floor(max(time_index) * cast(0.8 as double)) as cutoff from labelled)
       select unit, year, week, label, time_index,
@@ -446,6 +506,17 @@ ORACLE: dict[str, str] = {
       select floor(max(time_index) * cast(0.8 as double)) as cutoff from labelled)
       select unit, {N}, {big('sum(label)')} as label_sum, {big('0')} as nulls, {big('0')} as mismatches
       from labelled, cut where time_index > cutoff group by unit""",
+    "oof_calibration": f"""with {panel('unit, district').replace(
+        "from inc group by",
+        "from (select * replace (lpad(cast(district as varchar), 2, '0') as unit) from inc) group by",
+    )}{BASE[len(panel('unit, district')):]}
+      select band, {N}, {r('avg(label)')} as actual_avg, {r('avg(label)')} as calibrated_avg,
+        {r('0')} as mean_error from base group by band""",
+    "metrics_report": f"""with {BASE}, s as (
+      select avg((label - prediction) * (label - prediction)) as mse,
+        avg(abs(label - prediction)) as mae, var_pop(label) as spread from base)
+      select printf('RMSE: %.4f', sqrt(mse)) || chr(10) || printf('MAE: %.4f', mae) || chr(10)
+        || printf('MSE: %.4f', mse) || chr(10) || printf('R2: %.4f', 1 - mse / spread) as value from s""",
     "persistence_metrics": f"""with {BASE}, s as (
       select {N}, avg((label - prediction) * (label - prediction)) as mse,
         avg(abs(label - prediction)) as mae, var_pop(label) as spread from base)

@@ -41,6 +41,7 @@ from catalogue.fixtures import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 YEARS = tuple(range(1995, 2001))
+STRONG = 0.99
 ERAS = (Era("early", 1995, 1998), Era("late", 1999, 2001))
 UNIT_DISTRICT = ("unit", "district")
 
@@ -176,6 +177,13 @@ def pair_correlation_full(spark, sf):
     return places.corr_matrix(order_incidents(spark, sf), years=YEARS, digits=9)
 
 
+def strong_pairs(spark, sf):
+    """Customers whose yearly counts move alike, or against each other."""
+    return places.strong_pairs(
+        order_incidents(spark, sf), STRONG, unit="block", years=YEARS, digits=6
+    )
+
+
 def hierarchy_counts(spark, sf):
     return places.hierarchy_counts(order_incidents(spark, sf))
 
@@ -188,11 +196,32 @@ def era_means(spark, sf):
     return rounded(eras.era_means(order_incidents(spark, sf), "district", ERAS))
 
 
+def era_counts_many(spark, sf):
+    """One era per nation: overlapping spans, some open, some without incidents."""
+    nation = spark.read.parquet(f"{sf}/nation.parquet")
+    key = F.col("n_nationkey").cast("int")
+    many = nation.select(
+        F.col("n_name").alias("label"),
+        F.when(key % 7 != 0, 1992 + key % 8).alias("first"),
+        F.when(key % 5 != 0, 1992 + key % 8 + key % 4).alias("last"),
+    )
+    return eras.era_counts_by_table(order_incidents(spark, sf), "district", many)
+
+
 def paired_t(spark, sf):
     means = eras.era_means(order_incidents(spark, sf), "district", ERAS)
     return rounded(eras.paired_t(means, "early", "late"), 4)
 
 
+def paired_t_by_category(spark, sf):
+    """Two like eras, compared over the districts for each category."""
+    counts = order_incidents(spark, sf).groupBy("category", "district").agg(
+        F.count_if(F.year("ts").between(1995, 1996)).alias("a"),
+        F.count_if(F.year("ts").between(1997, 1998)).alias("b"),
+    )
+    return rounded(eras.paired_t(counts, "a", "b", by=["category"]), 9)
+
+
 # --- sources and sinks ------------------------------------------------------
 
 
@@ -309,6 +338,21 @@ def panel_dense(spark, sf):
     return rounded(panel.densify(panel.weekly_panel(order_incidents(spark, sf))))
 
 
+def panel_dense_calendar(spark, sf):
+    inc = order_incidents(spark, sf)
+    calendar = panel.week_calendar(inc, "calendar")
+    p = panel.weekly_panel(inc, week_mode="calendar")
+    return rounded(panel.densify_by_calendar(p, calendar).drop("position"))
+
+
+def panel_split_calendar(spark, sf):
+    inc = order_incidents(spark, sf)
+    dated = panel.add_calendar(
+        panel.weekly_panel(inc, week_mode="calendar"), panel.week_calendar(inc, "calendar")
+    )
+    return _split_columns(panel.split_by_date(materialise(panel.features_full(dated))))
+
+
 def _split_columns(split: DataFrame) -> DataFrame:
     return split.select("unit", "year", "week", "label", "time_index", "split")
 
@@ -404,6 +448,25 @@ def gbt_fairness(spark, sf):
     return fairness.fairness_by_group(forecast.predict(model, panel.test_part(split)), "band")
 
 
+def oof_calibration(spark, sf):
+    """By band: errors out of fold, less the band's mean error out of fold."""
+    p = panel.weekly_panel(_by_district(order_incidents(spark, sf)), UNIT_DISTRICT)
+    rows = materialise(fairness.add_band(panel.features_base(p)))
+    scored = forecast.out_of_fold(
+        rows, "band", folds=3, features=forecast.FEATURES_BASE, max_iter=20
+    )
+    adjusted = fairness.calibrate_by_group(scored, scored, "band")
+    by_band = fairness.fairness_by_group(adjusted, "band", prediction="calibrated")
+    # Adding zero turns a negative zero into zero.
+    return by_band.select(
+        "band",
+        "n",
+        F.round("actual_avg", 6).alias("actual_avg"),
+        F.round("predicted_avg", 6).alias("calibrated_avg"),
+        (F.round("mean_error", 6) + F.lit(0.0)).alias("mean_error"),
+    )
+
+
 def _persistence(spark, sf) -> DataFrame:
     return forecast.persistence(_base_features(spark, sf))
 
@@ -412,6 +475,10 @@ def persistence_metrics(spark, sf):
     return rounded(forecast.regression_metrics(_persistence(spark, sf)))
 
 
+def metrics_report(spark, sf):
+    return forecast.metrics_text(forecast.regression_metrics(_persistence(spark, sf)))
+
+
 # --- fairness ---------------------------------------------------------------
 
 
@@ -502,10 +569,13 @@ QUERIES: dict[str, Query] = {
         unit_year_matrix,
         pair_correlation,
         pair_correlation_full,
+        strong_pairs,
         hierarchy_counts,
         era_counts,
         era_means,
+        era_counts_many,
         paired_t,
+        paired_t_by_category,
         tsv_roundtrip,
         csv_roundtrip,
         csv_mixed_headers,
@@ -523,6 +593,8 @@ QUERIES: dict[str, Query] = {
         panel_flags_trend,
         panel_shares,
         panel_dense,
+        panel_dense_calendar,
+        panel_split_calendar,
         panel_split,
         panel_split_by_date,
         features_full,
@@ -534,7 +606,9 @@ QUERIES: dict[str, Query] = {
         gbt_forecast,
         gbt_table_parity,
         gbt_fairness,
+        oof_calibration,
         persistence_metrics,
+        metrics_report,
         arrest_rate_by_district,
         violent_rate_by_district,
         arrest_rate_top5,

@@ -13,6 +13,7 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import functions as F
 
 from blotter.operators import encoding as en
+from blotter.operators import fairness as fr
 from blotter.operators import forecast as fc
 from blotter.operators import panel as pn
 from blotter.operators.ranking import global_rank
@@ -124,3 +125,25 @@ def test_equal_tables_with_two_and_four_cores(tmp_path):
         tables.append(json.loads(line[5:]))
     assert tables[0] == tables[1]
     assert len(tables[0]) > 20
+
+
+def test_out_of_fold(spark, split):
+    rows = materialise(split.drop("split").withColumn("band", F.when(F.col("unit").cast("int") <= 8, "a").otherwise("b")))
+    scored = fc.out_of_fold(rows, "band", folds=2, features=fc.FEATURES_FULL, max_iter=3, partitions=4)
+    assert scored.columns == [*rows.columns, "fold", "prediction"]
+    assert rows.exceptAll(scored.drop("fold", "prediction")).count() == 0
+    assert scored.count() == rows.count()
+    assert scored.groupBy("unit").agg(F.count_distinct("fold").alias("n")).filter("n > 1").count() == 0
+    assert scored.select("fold").distinct().count() == 2
+    assert scored.filter("prediction is null").count() == 0
+    # The weighted fit of one fold, done by hand.
+    others = scored.filter("fold = 1").drop("fold", "prediction")
+    train = materialise(fr.add_weights(others, fr.group_weights(others, "band"), "band"))
+    model = fc.fit_forecast(train, weight_col="weight", features=fc.FEATURES_FULL, max_iter=3, partitions=4)
+    again = fc.predict(model, scored.filter("fold = 0").withColumnRenamed("prediction", "given"))
+    assert again.filter("abs(prediction - given) > 1e-12").count() == 0
+    adjusted = fr.calibrate_by_group(scored, scored, "band")
+    for r in fr.fairness_by_group(adjusted, "band", prediction="calibrated").collect():
+        assert abs(r.mean_error) < 1e-12
+    with pytest.raises(ValueError):
+        fc.out_of_fold(rows, "band", folds=1)

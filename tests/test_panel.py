@@ -134,3 +134,53 @@ def test_splits_cover_the_panel(spark, split):
     else:
         key = F.max(F.struct("year", "week"))
         assert train.agg(key).first()[0] < test.agg(F.min(F.struct("year", "week"))).first()[0]
+
+
+def test_calendar_at_year_ends(spark, inc):
+    """Week 53 of 2005 holds its first two days and comes last; week 1 of 2018 holds its last day, too."""
+    rows = {(r.year, r.week): r for r in pn.week_calendar(inc, "calendar").collect()}
+    assert rows[2005, 53].monday == dt.date(2004, 12, 27)
+    assert rows[2005, 53].position == rows[2005, 52].position + 1
+    assert rows[2006, 1].position == rows[2005, 53].position + 1
+    assert rows[2006, 52].monday == dt.date(2005, 12, 26)
+    assert rows[2018, 1].monday == dt.date(2018, 1, 1)
+    assert sorted(r.position for r in rows.values()) == list(range(len(rows)))
+    iso = pn.week_calendar(inc).orderBy("position").collect()
+    assert all((b.monday - a.monday).days == 7 for a, b in zip(iso, iso[1:]))
+    assert pn.week_calendar(inc.limit(0)).count() == 0
+
+
+def test_dense_calendar_weeks(spark, inc):
+    rows = [
+        (1, dt.datetime(2018, 12, 20), "u", 1, 1, 1, 0),
+        (2, dt.datetime(2018, 12, 31), "u", 1, 1, 1, 0),
+        (3, dt.datetime(2019, 1, 8), "u", 1, 0, 0, 0),
+        (4, dt.datetime(2019, 1, 1), "v", 1, 0, 0, 0),
+    ]
+    few = spark.createDataFrame(rows, SCHEMA)
+    calendar = pn.week_calendar(few, "calendar")
+    p = pn.weekly_panel(few, week_mode="calendar")
+    dense = pn.densify_by_calendar(p, calendar)
+    assert keyed(dense, "total", "violent") == {
+        ("u", 2018, 1): (1, 1),
+        ("u", 2018, 51): (1, 1),
+        ("u", 2018, 52): (0, 0),
+        ("u", 2019, 1): (0, 0),
+        ("u", 2019, 2): (1, 0),
+        ("v", 2019, 1): (1, 0),
+    }
+    assert dense.columns[-2:] == ["position", "monday"]
+
+
+def test_dense_iso_weeks_agree_with_the_calendar(spark, inc):
+    p = pn.weekly_panel(inc)
+    plain = pn.densify(p)
+    dense = pn.densify_by_calendar(p, pn.week_calendar(inc)).select(*plain.columns)
+    assert plain.exceptAll(dense).count() == dense.exceptAll(plain).count() == 0
+
+
+def test_split_by_the_carried_monday(spark):
+    rows = [("u", 2018, w, dt.date(2018, 1, 1) + dt.timedelta(days=7 * (10 - w))) for w in range(1, 11)]
+    df = spark.createDataFrame(rows, "unit string, year int, week int, monday date")
+    split = {r.week: r.split for r in pn.split_by_date(df, 0.5).collect()}
+    assert split == {w: "test" if w < 6 else "train" for w in range(1, 11)}

@@ -4,11 +4,14 @@ import datetime as dt
 import itertools
 import random
 
+import math
+
 import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
 
+from blotter.functions.special import student_p
 from blotter.operators import eras, places
 from blotter.roles import Era
 
@@ -133,11 +136,115 @@ def test_paired_t(spark):
         return tuple(eras.paired_t(spark.createDataFrame(rows, "a double, b double"), "a", "b").first())
 
     diffs = np.array([1.0, 2.0, 4.0])
-    n, mean, value = t([(3.0, 2.0), (5.0, 3.0), (9.0, 5.0)])
-    assert (n, mean) == (3, pytest.approx(diffs.mean()))
+    n, mean, value, df, p = t([(3.0, 2.0), (5.0, 3.0), (9.0, 5.0)])
+    assert (n, mean, df) == (3, pytest.approx(diffs.mean()), 2)
     assert value == pytest.approx(diffs.mean() / (diffs.std(ddof=1) / 3**0.5))
-    assert t([(3.0, 2.0)]) == (1, 1.0, None)
-    assert t([(3.0, 2.0), (4.0, 3.0)]) == (2, 1.0, None)
+    assert p == pytest.approx(1 - value / (2 + value**2) ** 0.5, abs=1e-12)
+    assert t([(3.0, 2.0)]) == (1, 1.0, None, 0, None)
+    assert t([(3.0, 2.0), (4.0, 3.0)]) == (2, 1.0, None, 1, None)
+
+
+def closed_p(t, n):
+    """Two-sided p for whole degrees of freedom, as a finite sum."""
+    angle = math.atan(abs(t) / n**0.5)
+    c2 = math.cos(angle) ** 2
+    if n % 2:
+        term = total = math.cos(angle) if n > 1 else 0.0
+        for k in range(3, n - 1, 2):
+            term *= c2 * (k - 1) / k
+            total += term
+        return 1 - 2 / math.pi * (angle + math.sin(angle) * total)
+    term = total = 1.0
+    for k in range(2, n - 1, 2):
+        term *= c2 * (k - 1) / k
+        total += term
+    return 1 - math.sin(angle) * total
+
+
+def test_p_value_against_the_closed_form(spark):
+    rows = [(t, n) for t in (0.0, 0.01, -1.0, 2.5, 7.7, 300.0) for n in (1, 2, 3, 4, 5, 24, 25, 101, 1000)]
+    df = spark.createDataFrame([*rows, (None, 4), (1.0, 0)], "t double, df bigint")
+    for r in df.select("t", "df", student_p("t", "df").alias("p")).collect():
+        if r.t is None or r.df < 1:
+            assert r.p is None
+        else:
+            assert r.p == pytest.approx(closed_p(r.t, r.df), abs=1e-10)
+
+
+def test_paired_t_by_group(spark):
+    rows = [("x", 3.0, 2.0), ("x", 5.0, 3.0), ("x", 9.0, 5.0), ("y", 1.0, 1.0), (None, 2.0, 1.0), (None, 4.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, a double, b double")
+    got = {r.g: r for r in eras.paired_t(df, "a", "b", by=["g"]).collect()}
+    one = eras.paired_t(df.filter("g = 'x'"), "a", "b").first()
+    assert tuple(got["x"])[1:] == tuple(one)
+    assert (got["y"].n, got["y"].t, got["y"].p) == (1, None, None)
+    assert got[None].n == 2
+
+
+def test_table_of_eras(spark):
+    df = incidents(spark, {"0111": {2000: 9, 2001: 3, 2003: 6}, "0211": {2002: 4}})
+    table = [
+        ("open", None, None),
+        ("overlap", 2001, 2003),
+        ("one", 2002, 2002),
+        ("late", 2003, 9999),
+        ("none", 1900, 1950),
+        ("turned", 2003, 2001),
+        ("twice", 2000, 2001),
+        ("twice", 2001, 2002),
+    ]
+    eras_of = spark.createDataFrame(table, "label string, first int, last int")
+    got = {(r.district, r.era): r.n for r in eras.era_counts_by_table(df, "district", eras_of).collect()}
+    assert got == {
+        (1, "open"): 18, (1, "overlap"): 9, (1, "late"): 6, (1, "twice"): 12,
+        (2, "open"): 4, (2, "overlap"): 4, (2, "one"): 4, (2, "twice"): 4,
+    }
+    assert eras.era_counts_by_table(df.limit(0), "district", eras_of).count() == 0
+
+
+def profiles_of(spark, n, years, seed=1, repeated=0):
+    rng = np.random.default_rng(seed)
+    z = rng.normal(size=(n, years))
+    z[:repeated] = z[0] + 1e-3 * rng.normal(size=(repeated, years))
+    z -= z.mean(axis=1, keepdims=True)
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    rows = [(f"{i:05d}", *map(float, v)) for i, v in enumerate(z)]
+    return z, spark.createDataFrame(rows, ["u", *[f"z{i}" for i in range(years)]])
+
+
+@pytest.mark.parametrize(("years", "threshold", "repeated"), [(6, 0.97, 0), (6, 0.97, 150), (2, 0.9, 0), (3, 0.999, 0), (8, 0.6, 0)])
+def test_no_strong_pair_is_lost(spark, years, threshold, repeated):
+    n = 400
+    z, units = profiles_of(spark, n, years, repeated=repeated)
+    values = [f"z{i}" for i in range(years)]
+    formed = places.near_pairs(units, values, math.acos(threshold) + 1e-7, units_per_block=40)
+    pairs = [(r.u1, r.u2) for r in formed.select("u1", "u2").collect()]
+    assert len(pairs) == len(set(pairs))
+    r = np.abs(z @ z.T)
+    expected = {(f"{i:05d}", f"{j:05d}") for i in range(n) for j in range(i + 1, n) if r[i, j] >= threshold}
+    assert expected <= set(pairs)
+
+
+def test_pairs_formed_are_far_fewer_than_all(spark):
+    n = 3000
+    z, units = profiles_of(spark, n, 6)
+    formed = places.near_pairs(units, [f"z{i}" for i in range(6)], math.acos(0.99) + 1e-7).count()
+    strong = int((np.abs(np.triu(z @ z.T, 1)) >= 0.99).sum())
+    assert strong <= formed < 0.03 * n * (n - 1) / 2
+
+
+def test_strong_pairs_equal_the_matrix(spark):
+    rng = np.random.default_rng(4)
+    cells = {f"0{k % 3}{k:02d}": {2018 + y: int(v) for y, v in enumerate(rng.integers(1, 9, 4))} for k in range(40)}
+    cells["0999"] = {2018 + y: 5 for y in range(4)}
+    df = incidents(spark, cells)
+    years = range(2018, 2022)
+    full = {(r.u1, r.u2): r.r for r in places.corr_matrix(df, years=years, digits=9).collect() if r.r is not None and abs(r.r) >= 0.8}
+    got = [tuple(r) for r in places.strong_pairs(df, 0.8, years=years).collect()]
+    assert {(a, b): r for a, b, r in got} == full and len(got) == len(full) > 0
+    assert [abs(r) for *_, r in got] == sorted((abs(r) for *_, r in got), reverse=True)
+    with pytest.raises(ValueError):
+        places.strong_pairs(df, 0)
 
 
 def test_empty_keys_are_no_hotspot_and_one_year_has_no_correlation(spark):

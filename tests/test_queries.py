@@ -28,6 +28,7 @@ TYPES = {
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
 }
 
 
