@@ -87,6 +87,43 @@ def raw_text(incidents: DataFrame) -> DataFrame:
     )
 
 
+def dirty_text(incidents: DataFrame) -> DataFrame:
+    """Raw rows with dirt by key: dates, flags, districts, categories and blocks.
+
+    What a rule cannot read is null after cleaning: dates that are no dates or
+    absent, flags that are no flags, districts that are no numbers from 1 to 25.
+    """
+    key = F.col("ID").cast("bigint")
+    ts = F.try_to_timestamp("Date", F.lit("MM/dd/yyyy hh:mm:ss a"))
+    number = F.split("District", "[.]")[0]
+    return raw_text(incidents).select(
+        "ID",
+        F.when(key % 11 == 0, "31st of June")
+        .when(key % 13 == 0, F.lit(None))
+        .when(key % 7 == 0, F.date_format(ts, "M/d/yyyy h:mm:ss a"))
+        .otherwise(F.col("Date"))
+        .alias("Date"),
+        F.when(key % 47 == 0, F.lit(None)).when(key % 53 == 0, "").otherwise(F.col("Block")).alias("Block"),
+        F.when(key % 43 != 0, F.col("Primary Type")).alias("Primary Type"),
+        F.when(key % 17 == 0, "maybe")
+        .when(key % 19 == 0, F.lit(None))
+        .when(key % 5 == 0, F.upper("Arrest"))
+        .otherwise(F.col("Arrest"))
+        .alias("Arrest"),
+        F.when(key % 59 == 0, "").otherwise(F.col("Domestic")).alias("Domestic"),
+        F.when(key % 61 != 0, F.col("Beat")).alias("Beat"),
+        F.when(key % 23 == 0, "26")
+        .when(key % 29 == 0, "unknown")
+        .when(key % 31 == 0, F.lit(None))
+        .when(key % 37 == 0, "0.5")
+        .when(key % 41 == 0, F.concat(F.lit("-"), number))
+        .when(key % 3 == 0, F.concat(F.lit(" "), F.lpad(number, 3, "0"), F.lit(" ")))
+        .when(key % 3 == 1, F.concat(number, F.lit(".9")))
+        .otherwise(F.col("District"))
+        .alias("District"),
+    )
+
+
 def cut_lines(incidents: DataFrame) -> DataFrame:
     """Raw rows as CSV lines under their header; by key, some are cut or too long."""
     text = raw_text(incidents)

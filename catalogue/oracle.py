@@ -299,6 +299,22 @@ def rates(flag: str) -> str:
       from inc group by district"""
 
 
+DIRTY = ORDERS.replace("inc as (", "whole as (", 1) + """, inc as (
+  select id, case when id % 11 <> 0 and id % 13 <> 0 then ts end as ts,
+    case when id % 47 = 0 then null when id % 53 = 0 then '' else block end as block,
+    case when id % 61 <> 0 then unit end as unit,
+    case when id % 23 <> 0 and id % 29 <> 0 and id % 31 <> 0 and id % 37 <> 0 and id % 41 <> 0
+      then district end as district,
+    case when id % 43 <> 0 then category end as category,
+    case when id % 43 <> 0 then violent end as violent,
+    case when id % 17 <> 0 and id % 19 <> 0 then arrest end as arrest,
+    case when id % 59 <> 0 then domestic end as domestic
+  from whole)"""
+DIRTY_PANEL = f"""{DIRTY}{panel('unit, district')[len(ORDERS):]
+    .replace('as violent', 'as violent_').replace('avg(', 'coalesce(avg(').replace('double))', 'double)), 0)')
+    .replace('from inc', 'from dated').replace(', panel as (', ', dated as (select * from inc where ts is not null), counted as (')},
+  panel as (select * exclude (violent_), coalesce(violent_, 0) as violent from counted)"""
+
 # Week keys of every day between the first incident and the last, numbered.
 CALENDAR_WEEKS = f"""{panel(year='year(ts)')}, days as (
   select cast(unnest(generate_series(min(date_trunc('day', ts)), max(date_trunc('day', ts)), interval 1 day))
@@ -432,6 +448,23 @@ ORACLE: dict[str, str] = {
         when o_orderpriority in ('1-URGENT', '2-HIGH') then 1 else 0 end as flag_or_null,
       case when o_orderpriority in ('1-URGENT', '2-HIGH') then 1 else 0 end as flag_or_zero
       from orders""",
+    "clean_dirty_fields": f"with {DIRTY} {TYPED}",
+    "arrests_by_month_undated": profile(DIRTY, "month", MONTH, where="arrest = 1"),
+    "monthly_violent_dirty": profile(
+        DIRTY,
+        "month",
+        MONTH,
+        f", {big('sum(coalesce(violent, 0))')} as violent_n, {big('count(*) - sum(coalesce(violent, 0))')} as non_violent_n",
+        "ts is not null",
+    ),
+    "counts_by_district_dirty": profile(DIRTY, "district", "district", where="district is not null"),
+    "hotspots_dirty": f"""with {DIRTY} select block, {N} from inc
+      where year(ts) >= 1999 and block <> '' group by 1 order by n desc, block limit 10""",
+    "panel_dirty": f"""with {DIRTY_PANEL}
+      select unit, district, year, week, total, violent, {r('arrest_rate')} as arrest_rate,
+        {r('domestic_rate')} as domestic_rate from panel""",
+    "fairness_unknown_band": f"""with {DIRTY_PANEL}{BASE[len(panel('unit, district')):]}
+      select {fairness('band')} from base group by band""",
     "weekly_panel": f"""with {panel()}
       select unit, year, week, total, violent, {RATES} from panel""",
     "weekly_panel_calendar": f"""with {panel(year='year(ts)')}

@@ -32,6 +32,7 @@ from catalogue.fixtures import (
     ORDER_VIOLENT,
     cut_lines,
     dated_orders,
+    dirty_text,
     event_incidents,
     order_incidents,
     raw_text,
@@ -286,6 +287,47 @@ def violent_flags(spark, sf):
     )
 
 
+# --- dirty input ---
+
+
+def _dirty(spark, sf) -> DataFrame:
+    return normalise(dirty_text(order_incidents(spark, sf)), ORDER_VIOLENT)
+
+
+def clean_dirty_fields(spark, sf):
+    return _dirty(spark, sf)
+
+
+def arrests_by_month_undated(spark, sf):
+    """Undated arrests have a bucket of their own."""
+    return profiles.count_by_period(_dirty(spark, sf), "month", where="arrest", drop_null_bucket=False)
+
+
+def monthly_violent_dirty(spark, sf):
+    inc = _dirty(spark, sf).withColumn("violent", violent_flag("category", ORDER_VIOLENT, null_as=0))
+    return profiles.count_by_period(inc, "month", flags=["violent"], complement=True)
+
+
+def counts_by_district_dirty(spark, sf):
+    text = dirty_text(order_incidents(spark, sf))
+    return profiles.category_counts(text, clean_district("District"), name="district")
+
+
+def hotspots_dirty(spark, sf):
+    return places.hotspots(_dirty(spark, sf), since=1999)
+
+
+def panel_dirty(spark, sf):
+    """Undated incidents drop, unknown flags and categories count as null."""
+    return rounded(panel.weekly_panel(_dirty(spark, sf), UNIT_DISTRICT))
+
+
+def fairness_unknown_band(spark, sf):
+    p = panel.weekly_panel(_dirty(spark, sf), UNIT_DISTRICT)
+    scored = forecast.persistence(fairness.add_band(panel.features_base(p)))
+    return rounded(fairness.fairness_by_group(scored, "band"))
+
+
 # --- panel ------------------------------------------------------------------
 
 
@@ -584,6 +626,13 @@ QUERIES: dict[str, Query] = {
         text_roundtrip,
         clean_text_fields,
         violent_flags,
+        clean_dirty_fields,
+        arrests_by_month_undated,
+        monthly_violent_dirty,
+        counts_by_district_dirty,
+        hotspots_dirty,
+        panel_dirty,
+        fairness_unknown_band,
         weekly_panel,
         weekly_panel_calendar,
         weekly_panel_district,
