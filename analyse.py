@@ -21,6 +21,7 @@ from blotter.plans.geography import geography
 from blotter.plans.prepare import prepare
 from blotter.plans.temporal import temporal_report
 from blotter.roles import Roles
+from blotter.runtime import scratch_scope
 from blotter.sources.incidents import normalise, read_incidents_csv
 
 ANALYSES = {
@@ -57,9 +58,10 @@ def main() -> None:
         print(counts)
     else:
         incidents, roles = load(spark, args.input)
-        for name, result in ANALYSES[args.analysis](incidents, args.output, roles=roles).items():
-            print(name)
-            result.show(20, truncate=False)
+        with scratch_scope(spark):
+            for name, result in ANALYSES[args.analysis](incidents, args.output, roles=roles).items():
+                print(name)
+                result.show(20, truncate=False)
     spark.stop()
 
 
