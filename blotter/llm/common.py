@@ -28,3 +28,11 @@ def id_hash(doc_id: str = "doc_id") -> Column:
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under fixed names, so that no other name can clash."""
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

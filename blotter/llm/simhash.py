@@ -9,33 +9,29 @@ meets in some of the seven tables, without exception.
 
 A bucket with many fingerprints is dealt out again by the same construction
 over the positions its mask has dropped. What then still shares a bucket
-differs in at most twelve positions (sixteen for radius 5), so it holds at most
-4,096 fingerprints (65,536), whatever the input.
+differs in at most twelve positions, so it holds at most 4,096 fingerprints,
+whatever the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.llm.common import only
+from blotter.llm.common import only, unused
 from blotter.llm.components import connected_components
 from blotter.runtime import materialise
 
 BITS = 64
 RADIUS = 2
-#: Bits for fingerprints of distinct words, whose near copies are verified.
-STAGE_RADIUS = 5
 SEED = 42
-#: Hash seeds of the stage: each gives near copies another chance to be linked.
-STAGE_SEEDS = (SEED, SEED + 1)
 #: Fingerprints in a bucket from which on it is dealt out again. It moves work
 #: only: the links are the same for any value.
 BUCKET = 512
@@ -43,16 +39,14 @@ FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwx
 HASHES_AT_ONCE = 1 << 14
 
 
-def simhash(text: str | None, words: int = 3, distinct: bool = False, seed: int = SEED) -> int:
-    """Fingerprint of the word shingles of ``text``, repeats included unless ``distinct``.
+def simhash(text: str | None, words: int = 3, seed: int = SEED) -> int:
+    """Fingerprint of the word shingles of ``text``, repeats included.
 
     A text of fewer words is one shingle; without any word (or null) it is 0.
     """
     found = (text or "").encode("utf-8", "replace").translate(FOLD).split()
     if not found:
         return 0
-    if distinct and words == 1:
-        found = sorted(set(found))
     joined = b" ".join(found)
     if len(found) <= words:
         return xxhash.xxh64_intdigest(joined, seed)
@@ -79,13 +73,13 @@ def _signed(value: int) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distinct: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3
 ) -> DataFrame:
     """``doc_id``, ``fp`` (the 64 bits as a signed long), one row per row."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fp = [_signed(simhash(t, words, distinct)) for t in batch["text"]]
+            fp = [_signed(simhash(t, words)) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": np.array(fp, np.int64)})
 
     source = only(docs, doc_id=id_col, text=text_col)
@@ -133,7 +127,8 @@ def linked_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     first = covering_masks(list(range(BITS)), radius)
     second = [covering_masks(_dropped(m), radius) for m in first]
     lits = lambda masks: F.array(*[F.lit(_signed(m)) for m in masks])
-    keyed = distinct.select(
+    # Few bytes, much work: each row becomes one per mask, so deal the rows out first.
+    keyed = distinct.repartition("fp").select(
         "fp", F.posexplode(F.transform(lits(first), lambda m: F.col("fp").bitwiseAND(m))).alias("t", "key")
     )
     shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
@@ -168,7 +163,6 @@ def near_duplicates(
     text_col: str = "text",
     words: int = 3,
     radius: int = RADIUS,
-    distinct: bool = False,
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` per row.
 
@@ -178,7 +172,7 @@ def near_duplicates(
     come back as often as they came. A null id is never a component's id
     unless the component has no other. An empty table gives an empty one.
     """
-    fps = materialise(fingerprints(docs, id_col, text_col, words, distinct), "simhash")
+    fps = materialise(fingerprints(docs, id_col, text_col, words), "simhash")
     nodes = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = connected_components(linked_fingerprints(nodes.select("fp"), radius))
     labelled = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
@@ -192,166 +186,29 @@ def near_duplicates(
     )
 
 
-def shingles(text: str | None, words: int) -> set[bytes]:
-    found = (text or "").encode("utf-8", "replace").translate(FOLD).split()
-    if not found:
-        return set()
-    return {b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
-
-
-def alike(words: int, least: float):
-    """A pandas UDF: whether two texts share so much of their word shingles.
-
-    The measure is the Jaccard similarity; two texts without words are alike.
-    """
-
-    @F.pandas_udf("boolean")
-    def judge(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(left, right):
-            x, y = shingles(a, words), shingles(b, words)
-            out.append(a == b or len(x & y) >= least * len(x | y))
-        return pd.Series(out, dtype=bool)
-
-    return judge
-
-
-def _prints(source: DataFrame, seeds: tuple[int, ...]) -> DataFrame:
-    """``doc_id``, ``th``, ``same`` (hashes of the text), ``fps`` (one per seed)."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = [[_signed(simhash(t, 1, True, seed)) for seed in seeds] for t in batch["text"]]
-            yield batch.drop(columns="text").assign(fps=fps)
-
-    hashed = source.select(
-        "doc_id",
-        F.xxhash64("text").alias("th"),
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("same"),
-        "text",
-    )
-    schema = T.StructType([*hashed.drop("text").schema, T.StructField("fps", T.ArrayType(T.LongType()))])
-    return hashed.mapInPandas(rows, schema)
-
-
-def _candidates(prints: DataFrame, at: int, radius: int) -> DataFrame:
-    """``a``, ``b``: ids whose fingerprint number ``at`` are equal or linked."""
-    own = prints.select("doc_id", F.col("fps")[at].alias("fp"))
-    nodes = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "copy-nodes")
-    equal = own.join(nodes, "fp").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    linked = linked_fingerprints(nodes.select("fp"), radius)
-    left = nodes.select(F.col("fp").alias("a"), F.col("least").alias("first"))
-    right = nodes.select(F.col("fp").alias("b"), F.col("least").alias("second"))
-    ends = linked.join(left, "a").join(right, "b")
-    return equal.union(ends.select(F.least("first", "second").alias("a"), F.greatest("first", "second").alias("b")))
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
-    return pairs.join(left, "a").join(right, "b").where(alike(words, least)("one", "other")).select("a", "b")
-
-
-def _unfinished(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """``doc_id``, ``cluster``, ``grp`` where a cluster of candidates has several groups.
-
-    Every pair of close fingerprints lies within one cluster, whatever trees
-    its buckets handed on.
-    """
-    of = groups.select(F.col("node").alias("doc_id"), F.col("root").alias("grp"))
-    clusters = connected_components(pairs).select(F.col("node").alias("doc_id"), F.col("root").alias("cluster"))
-    placed = materialise(
-        clusters.join(of, "doc_id", "left").select("doc_id", "cluster", F.coalesce("grp", "doc_id").alias("grp")),
-        "clusters",
-    )
-    several = placed.groupBy("cluster").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y")
-    return materialise(placed.join(several.select("cluster"), "cluster", "left_semi"), "unfinished")
-
-
-def _prefix_pairs(docs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
-    """``a``, ``b``: all pairs of one cluster and different groups that may be alike.
-
-    Of two sets alike to ``least`` each shares so many of its shingles with
-    the other that, in an order common to both, the first ones beyond that
-    share meet. Rarest shingles come first. Where in the order two sets meet
-    first bounds what they share; pairs bounded below ``least`` are not made.
-    """
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for d, c, g, text in batch.itertuples(index=False):
-                found = {_signed(xxhash.xxh64_intdigest(s, SEED)) for s in shingles(text, words) or {b""}}
-                yield pd.DataFrame({"doc_id": d, "cluster": c, "grp": g, "n": len(found), "s": list(found)})
-
-    own = docs.join(texts, "doc_id").select("doc_id", "cluster", "grp", "text").dropDuplicates(["doc_id"])
-    schema = T.StructType([*own.drop("text").schema, T.StructField("n", T.LongType()), T.StructField("s", T.LongType())])
-    placed = materialise(own.mapInPandas(rows, schema), "shingles")
-    spread = placed.groupBy("cluster", "s").agg(
-        F.count("*").alias("df"), F.min("grp").alias("x"), F.max("grp").alias("y")
-    )
-    # Shingles of one group only make no pair, but take their places in the order.
-    in_order = Window.partitionBy("doc_id").orderBy("df", "s")
-    met = placed.join(spread, ["cluster", "s"]).withColumn("place", F.row_number().over(in_order))
-    ahead = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
-    prefix = met.where((F.col("place") <= ahead) & (F.col("x") != F.col("y")))
-    prefix = materialise(prefix.select("cluster", "s", "doc_id", "grp", "n", "place"), "prefixes")
-    a, b = prefix.alias("a"), prefix.alias("b")
-    shared = 1 + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
-    together = F.col("a.n") + F.col("b.n")
-    # A pair that meets in several places keeps the first, whose bound is the widest.
-    may = shared >= (together - shared) * (least - 1e-9)
-    return (
-        a.join(b, [F.col("a.cluster") == F.col("b.cluster"), F.col("a.s") == F.col("b.s"),
-                   F.col("a.doc_id") < F.col("b.doc_id"), F.col("a.grp") != F.col("b.grp"), may])
-        .select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
-        .distinct()
-    )
-
-
 def without_near_copies(
     docs: DataFrame,
-    words: int = 5,
-    least: float = 0.8,
-    radius: int = STAGE_RADIUS,
-    seeds: tuple[int, ...] = STAGE_SEEDS,
+    words: int = 3,
+    radius: int = RADIUS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with one document of each group of near copies, columns as given.
-
-    Candidates are pairs whose fingerprints of the distinct words are linked
-    under some seed; near copies differ there in fewer bits than on shingles.
-    A pair counts if the texts share at least ``least`` of their shingles of
-    ``words``. Trees of links are checked first; where the links of a cluster
-    do not all pass, all pairs of the cluster are searched by their shingles.
-    A group is what such pairs and equal texts connect; its
-    smallest id stays. Documents without words are equal. Of rows that repeat
-    an id one stays and speaks for it. Documents without an id belong to no
-    group and stay; an empty table stays empty.
+    """``docs`` with one row of each group of near copies, columns as given.
+
+    Groups are those of ``near_duplicates``. The row with the smallest id
+    stays, a null id counting as the largest; of rows with equal ids any one.
+    So repeated rows go, rows without words are one group, and a row alone
+    stays whatever its id. An empty table stays empty.
+
+    The rows are stored under numbers of their own, so that no id, however
+    often it occurs, brings its rows together.
     """
-    source = only(docs, doc_id=id_col, text=text_col).where("doc_id is not null")
-    rows = _prints(source, seeds).groupBy("doc_id").agg(F.min(F.struct("th", "same", "fps")).alias("r"))
-    prints = materialise(rows.select("doc_id", "r.*"), "prints")
-    firsts = prints.groupBy("same").agg(F.min(F.struct("doc_id", "th", "fps")).alias("r"))
-    firsts = materialise(firsts.select("same", "r.*"), "first-copies")
-    pairs = reduce(DataFrame.union, [_candidates(firsts, at, radius) for at in range(len(seeds))])
-    pairs = materialise(pairs.distinct(), "candidates")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    wanted = firsts.join(ends, "doc_id", "left_semi").select("doc_id", "th")
-    texts = source.withColumn("th", F.xxhash64("text")).join(wanted, ["doc_id", "th"]).select("doc_id", "text")
-    texts = materialise(texts, "candidate-texts")
-    linked = materialise(_verified(pairs, texts, words, least).distinct(), "near-pairs")
-    groups = materialise(connected_components(linked), "groups")
-    open_docs = _unfinished(pairs, groups)
-    if not open_docs.isEmpty():
-        more = materialise(_prefix_pairs(open_docs, texts, words, least), "more-candidates")
-        more = _verified(more, texts, words, least)
-        groups = connected_components(
-            groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
-        )
-    copies = prints.join(firsts.select("same", F.col("doc_id").alias("first")), "same").where("doc_id <> first")
-    gone = groups.where("node <> root").select(F.col("node").alias("_gone")).union(copies.select("doc_id"))
-    kept = docs.where(F.col(id_col).isNotNull()).join(gone.distinct(), F.col(id_col) == F.col("_gone"), "left_anti")
-    by_id = Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(f"`{text_col}`")))
-    kept = kept.withColumn("_place", F.row_number().over(by_id)).where("_place = 1").drop("_place")
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    row = unused(docs, "row")
+    stored = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(stored, row, text_col, words, radius).select(F.col("doc_id").alias("row"), "component_id")
+    members = materialise(groups.join(only(stored, row=row, own=id_col), "row"), "members")
+    first = F.min(F.struct(F.col("own").isNull(), "own", "row"))
+    several = members.groupBy("component_id").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = members.join(several, "component_id").where(F.col("row") != F.col("first.row")).select(F.col("row").alias(row))
+    # Rows that go are fewer than rows that stay, and mostly few enough to spare the texts a shuffle.
+    return stored.join(materialise(gone, "gone"), row, "left_anti").drop(row)
