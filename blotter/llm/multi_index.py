@@ -34,6 +34,8 @@ ROUNDS = 10
 SCANNED = 0.5
 BLOCK_ROWS = 4_096
 QUERIES_TOGETHER = 2_048
+#: Queries, on average, whose cells one task looks up.
+QUERIES_A_TASK = 64
 NEAREST = 10
 
 
@@ -176,8 +178,11 @@ def search(
                 )
 
     queries = index.where(F.col("vec_id") % every == 0).select("vec_id", "v")
+    # Few bytes, much work: the walks are dealt out by their number.
+    walks = max(1, total // every // QUERIES_A_TASK)
     asked = (
         queries.join(queries.groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id")
+        .repartition(walks, "vec_id")
         .mapInPandas(ask, "block long, share long, query_id long, q array<double>, cells array<long>")
     )
 

@@ -182,3 +182,20 @@ def test_unigram_models_are_rebuilt():
     coder = C.rebuild(model)
     assert coder.encode("ab  c", add_special_tokens=False).ids == [4, 1, 5]
     assert coder.decode([4, 1, 5]) == "ab c"
+
+
+def test_recall_on_the_given_table(spark):
+    """Every tenth vector as a query against brute force over the whole table."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    got = {}
+    for r in M.search(table, every=10).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    rows = M.usable(table).collect()
+    ids, v = np.array([r["vec_id"] for r in rows]), np.array([r["v"] for r in rows])
+    found = wanted = 0
+    for q in ids[ids % 10 == 0]:
+        far = ((v - v[ids == q][0]) ** 2).sum(axis=1)
+        near = [i for i in ids[np.lexsort((ids, far))].tolist() if i != q][:10]
+        found, wanted = found + len(got[q].intersection(near)), wanted + len(near)
+    assert len(got) == np.count_nonzero(ids % 10 == 0)
+    assert found >= 0.9 * wanted
