@@ -109,12 +109,23 @@ def test_later_ids_do_not_change_earlier_scores():
     assert np.allclose(a, b, atol=1e-5)
 
 
+def lines_of(ids):
+    return A.Lines.of([np.asarray(x).astype("<u2").tobytes() for x in ids])
+
+
 def test_each_id_is_scored_once():
-    for n in (0, 1, 15, 16, 17, 28, 29, 40, 2_000):
-        ids = np.arange(n)
-        line = np.concatenate([ids, [A.END]])
-        seen = np.concatenate([t[:, first:].ravel() for _, t, first in A._windows(ids)])
-        assert np.array_equal(seen, line)
+    sizes = (0, 1, 15, 16, 17, 28, 29, 40, 2_000)
+    inputs_of_all, targets, owner = A._windows(lines_of([np.arange(n) for n in sizes]))
+    for i, n in enumerate(sizes):
+        mine = owner == i
+        own, inputs = targets[mine], inputs_of_all[mine]
+        assert np.array_equal(own[own >= 0], [*range(n), A.END])
+        # A scored id after the first window has CONTEXT ids before it, and follows its input.
+        for k, (before, after) in enumerate(zip(inputs, own)):
+            first = np.flatnonzero(after >= 0)[0]
+            assert first == (A.CONTEXT if k else 0)
+            places = np.flatnonzero((after >= 0) & (after != A.END) & (before != A.END))
+            assert np.all(after[places] == before[places] + 1)
 
 
 def test_scores_and_exact_word_counts(docs):
@@ -150,72 +161,173 @@ def encoded(spark, docs):
     return spark.createDataFrame(rows, "ids binary")
 
 
-def test_shares_of_the_next_id_sum_to_one(spark, docs):
-    before = A.RUNS
-    try:
-        for runs in (before, 200, 0):
-            A.RUNS = runs
-            model = A.learn(encoded(spark, docs), rounds=1)
-            assert len(model.runs) <= max(1, runs)
-            assert np.all(model.spare <= model.led)
-            for text in ("lomitan ru", docs.where("length(text) > 20").first()["text"][:12]):
-                ids = np.frombuffer(next(byte_bpe(FILE).ids([text])), "<u4").astype(np.int64)
-                every = np.arange(A.VOCABULARY)
-                inputs = np.tile(np.concatenate([[A.END], ids]), (A.VOCABULARY, 1))
-                targets = np.tile(every[:, None], (1, inputs.shape[1]))
-                p = np.exp(A._log_shares(model, inputs, targets, inputs.shape[1] - 1))
-                assert p.sum() == pytest.approx(1, abs=1e-3)
-    finally:
-        A.RUNS = before
-
-
-def test_runs_are_counted_over_whole_texts(spark, docs):
+@pytest.fixture(scope="module")
+def model(spark, docs):
+    return A.learn(encoded(spark, docs))
+
+
+def test_shares_of_the_next_id_sum_to_one(docs, model):
+    for text in ("lomitan ru", docs.where("length(text) > 20").first()["text"][:12]):
+        ids = np.frombuffer(next(byte_bpe(FILE).ids([text])), "<u4").astype(np.int64)
+        every = np.arange(A.VOCABULARY)
+        inputs = np.tile(np.concatenate([[A.END], ids]), (A.VOCABULARY, 1))
+        targets = np.full(inputs.shape, -1)
+        targets[:, -1] = every
+        p = np.exp(A.log_shares(model, inputs, targets)[:, -1])
+        assert p.sum() == pytest.approx(1, abs=1e-3)
+
+
+def slow_score(model, ids):
+    """One id at a time: its window alone, attention by loops, a softmax over all ids."""
+    w = {k: v.astype(float) for k, v in model.weights.items()}
+    d = w["e"].shape[1]
+    line = [A.END, *ids.tolist(), A.END]
+    total, step = 0.0, A.WINDOW - A.CONTEXT
+    for at in range(1, len(line)):
+        start = 0 if at <= A.WINDOW else -(-(at - A.WINDOW) // step) * step
+        last = [int(model.kept[i]) for i in line[start:at]]
+        x = [w["e"][model.class_of[i]] + w["p"][k] for k, i in enumerate(last)]
+        q, k, v = (np.array([r @ w["qkv"][:, j * d : (j + 1) * d] for r in x]) for j in range(3))
+        a = np.exp(np.minimum(q[-1] @ k.T * d**-0.5, float(A.PEAK)))
+        o = (a / a.sum()) @ v
+        z = x[-1] @ w["x"] + o @ w["o"]
+        logits = np.maximum(z, 0) @ w["u"] + model.pairs[last[-1]]
+        after = int(model.kept[line[at]])
+        group = model.class_of[after]
+        share = logits[group] - math.log(np.exp(logits).sum())
+        share += model.inside[last[-1], after] + model.within[line[at]]
+        total += share
+    return total / math.log(10)
+
+
+def test_scores_equal_a_slow_version(docs, model):
+    rng = np.random.default_rng(3)
+    texts = [r["text"] or "" for r in docs.limit(12).collect()] + ["", "a"]
+    ids = [np.frombuffer(i, "<u4").astype(np.int64) for i in byte_bpe(FILE).ids(texts)]
+    ids += [rng.integers(0, A.VOCABULARY, n) for n in (15, 16, 17, 28, 29, 77)]
+    together = A.score(model, lines_of(ids))
+    for own, got in zip(ids, together):
+        assert got == pytest.approx(slow_score(model, own), rel=1e-5, abs=1e-4)
+        assert A.score(model, lines_of([own]))[0] == pytest.approx(got, rel=1e-6, abs=1e-6)
+
+
+def test_attention_beats_its_counts_and_the_word_count(spark):
+    """Held-out documents: with the attention weights set to zero only the counts of pairs are left."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held_out = A.scores(docs, FILE).where("held_out")
+    sums = held_out.agg(F.sum("base_score").alias("base"), F.sum("score").alias("score")).first()
+    assert sums["score"] > sums["base"] + 0.01 * abs(sums["base"])
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    learned = A.learn(encoded(spark, docs.where(~held & (F.col("doc_id") % 4 == 0))))
+    texts = [r["text"].lower() for r in docs.where(held).limit(200).collect()]
+    ids = [np.frombuffer(i, "<u4").astype(np.int64) for i in byte_bpe(FILE).ids(texts)]
+    with_attention = A.score(learned, lines_of(ids)).sum()
+    learned.weights["u"][:] = 0
+    assert with_attention > 0.99 * A.score(learned, lines_of(ids)).sum()
+
+
+def test_counts_of_ids_and_pairs(spark, docs):
+    packed = [r["ids"] for r in encoded(spark, docs).collect()]
     kept = np.arange(A.VOCABULARY) % A.KEPT
-    packed = encoded(spark, docs).toPandas()["ids"]
-    want = {}
-    for line in A._lines(packed):
-        for x in zip(line[:-2], line[1:-1], line[2:]):
-            i = (kept[x[0]] * A.KEPT + kept[x[1]]) * A.KEPT + kept[x[2]]
-            want[i] = want.get(i, 0) + 1
-    before = A.IDS_AT_ONCE
-    try:
-        for size in (before, 7):
-            A.IDS_AT_ONCE = size
-            got = {}
-            for numbers, n in A._run_counts(packed, kept):
-                for i, c in zip(numbers, n):
-                    got[i] = got.get(i, 0) + c
-            assert got == want
-    finally:
-        A.IDS_AT_ONCE = before
-
-
-def test_all_runs_count_whatever_is_looked_up(docs):
-    before, got = A.RUNS, []
-    try:
-        for runs in (before, 50):
-            A.RUNS = runs
-            got.append({r["doc_id"]: r["score"] for r in A.scores(docs, FILE).collect()})
-    finally:
-        A.RUNS = before
-    assert got[0] == pytest.approx(got[1])
-
-
-def test_each_id_is_learned_once(spark, docs):
+    ids, pairs = np.zeros(A.VOCABULARY, np.int64), np.zeros(A.KEPT**2, np.int64)
+    want, want_pairs = {}, {}
+    for line in (np.frombuffer(x, "<u2").astype(int) for x in packed):
+        for x, y in zip([A.END, *line], [*line, A.END]):
+            want[y] = want.get(y, 0) + 1
+            pair = kept[x] * A.KEPT + kept[y]
+            want_pairs[pair] = want_pairs.get(pair, 0) + 1
+    for some in (packed[:7], packed[7:]):
+        A._count_ids(ids, A.Lines.of(some))
+        A._count_pairs(pairs, A.Lines.of(some), kept)
+    assert {i: ids[i] for i in np.flatnonzero(ids)} == want
+    assert {i: pairs[i] for i in np.flatnonzero(pairs)} == want_pairs
+
+
+def test_each_id_is_learned_once():
     kept = np.arange(A.VOCABULARY)
     for n in (0, 1, 15, 16, 17, 100, 5_000):
         ids = np.arange(n)
-        for rounds in (1, 4):
-            found = [A._spread_windows([ids.astype("<u2").tobytes()], kept, r, rounds) for r in range(rounds)]
+        for rounds in ((1,), A.ROUNDS):
+            found = [A.spread_windows(lines_of([ids, ids[:3]]), kept, r, rounds) for r in range(len(rounds))]
             seen = np.concatenate([w[:, 1:].ravel() for w in found])
-            assert sorted(seen[seen >= 0].tolist()) == [*range(n), A.END]
+            assert sorted(seen[seen >= 0].tolist()) == sorted([*range(n), A.END, *range(min(n, 3)), A.END])
             for w in np.concatenate(found):
                 assert np.all((w[1:] == w[:-1] + 1) | (w[1:] == A.END) | (w[1:] < 0) | (w[:-1] == A.END))
 
 
+def test_very_long_texts_are_scored_whole(spark):
+    rows = [(0, "some words again " * 40_000), (3, "y" * 100_000), (4, None), (5, " \t"), (None, "x"), (None, "x")]
+    got = A.scores(spark.createDataFrame(rows, "doc_id long, text string"), FILE).collect()
+    by_id = {r["doc_id"]: r for r in got}
+    assert len(got) == 6 and by_id[0]["n_tokens"] == 120_001
+    assert by_id[4]["n_tokens"] == by_id[5]["n_tokens"] == 1
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
+
+
 def test_copies_use_up_no_places_of_the_sample(spark, monkeypatch):
     monkeypatch.setattr(Z, "SAMPLE_TEXTS", 5)
     texts = ["".join(chr(97 + (i * 7 + j * j) % 26) for j in range(9)) for i in range(5)]
     rows = [(t, "aa") for t in texts for _ in range(40)]
     content = Z.learn(spark.createDataFrame(rows, "text string, lang string").repartition(3)).content
     assert sorted(content["aa"].decode().split()) == sorted(set(texts))
+
+
+def test_texts_without_a_letter(docs):
+    learned = Z.learn(docs)
+    odd = ["² ½ ①", "Ⅷ ⅷ", "123 ٣٤ _ -", "", None, "\u0301", "一", "a²b"]
+    rows = docs.sparkSession.createDataFrame([(t,) for t in odd], "text string")
+    got = {r["text"]: r["p"] for r in rows.select("text", Z.predicted(rows, learned).alias("p")).collect()}
+    for text in odd[:6]:
+        assert (got[text]["lang_pred"], got[text]["score"], got[text]["accepted"]) == (Z.UNKNOWN, 0.0, False)
+    assert got["一"]["lang_pred"] != Z.UNKNOWN and got["a²b"]["lang_pred"] != Z.UNKNOWN
+    assert Z.letters("Straße, Ünï² x\u0301y 12") == "straße ünï x y"
+
+
+def test_sizes_equal_plain_compression(spark):
+    """Each block by a compressor of its own, without prepared dictionaries."""
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = Z.learn(docs)
+    assert all(0 < len(c) <= Z.DICTIONARY_BYTES for c in learned.content.values())
+    rows = docs.union(spark.createDataFrame([(-1, "Ein langer Text, " * 20_000, None, None, None)], docs.schema))
+    for r in rows.select("text", Z.predicted(docs, learned).alias("p")).collect():
+        if not Z.letters(r["text"]):
+            continue
+        data = f" {Z.letters(r['text'])} ".encode()
+        sizes = {}
+        for lang, content in learned.content.items():
+            options = zstandard.ZstdCompressionParameters.from_level(
+                Z.LEVEL, source_size=Z.BLOCK_BYTES, dict_size=len(content), write_content_size=0, write_checksum=0
+            )
+            raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes[lang] = sum(
+                len(zstandard.ZstdCompressor(dict_data=raw, compression_params=options).compress(data[i : i + Z.BLOCK_BYTES]))
+                for i in range(0, len(data), Z.BLOCK_BYTES)
+            )
+        first, second = sorted(sizes.values())[:2]
+        assert abs(sizes[r["p"]["lang_pred"]] - first) <= 2 * (1 + len(data) // Z.BLOCK_BYTES)
+        if second - first > 4 * (1 + len(data) // Z.BLOCK_BYTES):
+            assert sizes[r["p"]["lang_pred"]] == first and r["p"]["accepted"]
+
+
+def test_margin_is_a_share_of_the_size():
+    wide, narrow = Z.Dictionaries({"a": b"x" * 20, "b": b"y" * 20}, 0.5), Z.Dictionaries({"a": b"x" * 20, "b": b"y" * 20})
+    assert Z.judge([100, 120, 300])[2:] == (20, 100)
+    assert Z.judge([100]) == (0, 1.0, 100, 100)
+    assert (wide.margin, narrow.margin) == (0.5, 0.0)
+
+
+def test_sample_is_the_smallest_hashes(spark, monkeypatch):
+    """Many copies of few texts: the bound on hashes is raised until the places are filled."""
+    monkeypatch.setattr(Z, "SAMPLE_TEXTS", 6)
+    rows = [(f"text {'abcdefgh'[i % 8]} of some letters", "en") for i in range(4_000)] + [("un texte", "fr"), (None, "fr"), ("x", None)]
+    learned = Z.learn(spark.createDataFrame(rows, "text string, lang string").repartition(5))
+    assert list(learned.content) == ["en", "fr"]
+    assert learned.content["en"].count(b"some letters") == 6
+    assert learned.content["fr"] == b"un texte"
+
+
+def test_a_column_of_another_type_is_refused(spark):
+    with pytest.raises(TypeError):
+        Z.predicted(spark.createDataFrame([(1,)], "text int"), Z.Dictionaries({}))
