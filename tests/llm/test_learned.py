@@ -226,6 +226,45 @@ def test_attention_beats_its_counts_and_the_word_count(spark):
     assert with_attention > 0.99 * A.score(learned, lines_of(ids)).sum()
 
 
+def test_rare_ids_keep_their_own_neighbours(spark):
+    """Without attention, shares are the counted ones for every pair of ids, however rare."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 4 * A.KEPT, 50) for _ in range(200)]
+    texts += [np.array([5_000, 6_000])] * 3 + [np.array([5_001, 6_001])] * 3
+    packed = spark.createDataFrame([(t.astype("<u2").tobytes(),) for t in texts], "ids binary")
+    learned, rest = A.learn_all(packed, rounds=(1,))
+    assert rest is None
+    learned.weights["u"][:] = 0
+    pairs, last, single = {}, {}, {}
+    for t in texts:
+        line = [A.END, *t.tolist(), A.END]
+        for x, y in zip(line, line[1:]):
+            pairs[x, y], last[x], single[y] = pairs.get((x, y), 0) + 1, last.get(x, 0) + 1, single.get(y, 0) + 1
+    total = sum(single.values()) + 0.5 * A.VOCABULARY
+    wanted = [*list(pairs)[:500], (5_000, 6_000), (5_000, 6_001), (5_001, 6_000), (5_001, 6_001), (40_000, 6_000), (5_000, 40_000)]
+    inputs, targets = np.array(wanted).T
+    got = A.log_shares(learned, inputs[:, None], targets[:, None])[:, 0]
+    for (x, y), share in zip(wanted, got):
+        alone = (single.get(y, 0) + 0.5) / total
+        own = (pairs.get((x, y), 0) + A.SMOOTH * alone) / (last.get(x, 0) + A.SMOOTH)
+        assert share == pytest.approx(math.log(own), abs=1e-4)
+
+
+def test_pairs_beyond_the_tables_are_joined(spark, docs, monkeypatch):
+    rng = random.Random(2)
+    words = [byte_bpe(FILE).coder.decode([i]) for i in range(1_000, 9_000)]
+    words = [w for w in words if re.fullmatch(" [a-z]+", w)]
+    rows = [(i, "".join(rng.choice(words) for _ in range(60)) * rng.randint(1, 2)) for i in range(120)]
+    rare = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id + 1000", "text"))
+    got = []
+    for room in (A.FREQUENT_PAIRS, 1_000, 0):
+        monkeypatch.setattr(A, "FREQUENT_PAIRS", room)
+        got.append(sorted((r["doc_id"] or -1, r["n_known"], r["score"]) for r in A.scores(rare, FILE).collect()))
+    for some in got[1:]:
+        assert [r[:2] for r in some] == [r[:2] for r in got[0]]
+        assert [r[2] for r in some] == pytest.approx([r[2] for r in got[0]], rel=1e-4)
+
+
 def test_counts_of_ids_and_pairs(spark, docs):
     packed = [r["ids"] for r in encoded(spark, docs).collect()]
     kept = np.arange(A.VOCABULARY) % A.KEPT
