@@ -247,6 +247,24 @@ def test_strong_pairs_equal_the_matrix(spark):
         places.strong_pairs(df, 0)
 
 
+def test_strong_pairs_compare_equal_units_once(spark, monkeypatch):
+    """Few kinds of units, many units each: every pair comes out, and few are compared."""
+    rng = np.random.default_rng(8)
+    kinds = rng.integers(0, 5, (12, 4))
+    kinds[1] = 2 * kinds[0]
+    cells = {f"{k:02d}{m:02d}": {2018 + y: int(v) for y, v in enumerate(kind)} for k, kind in enumerate(kinds) for m in range(9)}
+    df = incidents(spark, cells)
+    years = range(2018, 2022)
+    seen = []
+    near = places.near_pairs
+    monkeypatch.setattr(places, "near_pairs", lambda units, *a: seen.append(units.count()) or near(units, *a))
+    full = {(r.u1, r.u2): r.r for r in places.corr_matrix(df, years=years, digits=9).collect() if r.r is not None and abs(r.r) >= 0.8}
+    for per_block in (4, 512):
+        got = [tuple(r) for r in places.strong_pairs(df, 0.8, years=years, units_per_block=per_block).collect()]
+        assert {(a, b): r for a, b, r in got} == full and len(got) == len(full) > 9 * 9
+    assert max(seen) <= len(kinds)
+
+
 def test_empty_keys_are_no_hotspot_and_one_year_has_no_correlation(spark):
     rows = [(i, "" if i % 2 else "a", f"011{i % 3}", f"2020-0{1 + i % 9}-01 00:00:00") for i in range(20)]
     df = spark.createDataFrame(rows, "id bigint, block string, unit string, ts string").withColumn("ts", F.to_timestamp("ts"))
