@@ -211,6 +211,61 @@ def test_scores_equal_a_slow_version(docs, model):
         assert A.score(model, lines_of([own]))[0] == pytest.approx(got, rel=1e-6, abs=1e-6)
 
 
+def test_places_only_looked_back_on_are_not_scored(model, monkeypatch):
+    """Scores go over all classes once for each id and end, and for the padding of a last window."""
+    places = []
+    logits = A._logits
+    monkeypatch.setattr(A, "_logits", lambda y, *rest: places.append(len(y)) or logits(y, *rest))
+    lines = lines_of([np.arange(n) % 700 for n in (0, 15, 16, 27, 28, 400, 2_000)])
+    whole = A.score(model, lines)
+    step = A.WINDOW - A.CONTEXT
+    assert sum(places) == sum(A.WINDOW + step * max(0, -(-(n + 1 - A.WINDOW) // step)) for n in lines.length)
+    inputs, targets, owner = A._windows(lines)
+    late = targets[:, 0] < 0
+    assert late.any()
+    every, some = A.class_shares(model, inputs[late], targets[late]), A.class_shares(model, inputs[late], targets[late], A.CONTEXT)
+    assert not every[:, : A.CONTEXT].any() and np.allclose(every[:, A.CONTEXT :], some, atol=1e-5)
+    monkeypatch.setattr(A, "SCORED_TOGETHER", 5)
+    assert A.score(model, lines) == pytest.approx(whole, rel=1e-6, abs=1e-6)
+
+
+def test_exponents_are_cut():
+    rng = np.random.default_rng(7)
+    y, u = rng.normal(0, 1, (6, 4)).astype(np.float32), rng.normal(0, 1, (4, 9)).astype(np.float32)
+    last, at = np.arange(6), np.arange(0, 54, 9)
+    for top in (0, 59, 61, 100):
+        pairs = np.zeros((6, 9), np.float32)
+        pairs[2, 3] = pairs[3, 0] = top
+        logits = np.minimum(y @ u + pairs, A.PEAK)
+        p, sums, own = A._exponents(y, u, pairs, last, at)
+        assert np.allclose(p, np.exp(logits), rtol=1e-4) and np.allclose(sums, np.exp(logits).sum(axis=1), rtol=1e-4)
+        assert np.allclose(own, logits[:, 0], atol=1e-4)
+
+
+def test_steps_are_those_of_adam():
+    rng = np.random.default_rng(8)
+    class_of = np.arange(A.VOCABULARY) % A.CLASSES
+    pairs = rng.normal(-4, 1, (200, A.CLASSES)).astype(np.float32)
+    windows = rng.integers(0, 200, (3 * A.BATCH - 5, A.WINDOW + 1))
+    windows[::7, 9:] = -1
+    steps = A.Steps(A.start_weights(), pairs, class_of)
+    steps.take(windows, 1)
+    w = {k: v.astype(float) for k, v in A.start_weights().items()}
+    mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+    order = np.random.default_rng(1).permutation(len(windows))
+    for t, at in enumerate(range(0, len(order), A.BATCH), 1):
+        batch = windows[order[at : at + A.BATCH]]
+        last, after = np.maximum(batch[:, :-1], 0), batch[:, 1:]
+        _, g = A.gradients(w, pairs.astype(float), last, class_of[last], np.where(after >= 0, class_of[after], -1))
+        for k in w:
+            mean[k] += 0.1 * (g[k] - mean[k])
+            square[k] += 0.01 * (g[k] ** 2 - square[k])
+            w[k] -= A.RATE * mean[k] / (1 - 0.9**t) / (np.sqrt(square[k] / (1 - 0.99**t)) + 1e-8)
+    for k, v in w.items():
+        # Steps go by the sign of a gradient: one near 0 may be off by rounding.
+        assert np.median(np.abs(steps.w[k] - v)) < 1e-4 and np.abs(steps.w[k] - v).max() < 3 * A.RATE
+
+
 def test_attention_beats_its_counts_and_the_word_count(spark):
     """Held-out documents: with the attention weights set to zero only the counts of pairs are left."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
