@@ -265,6 +265,30 @@ def test_strong_pairs_compare_equal_units_once(spark, monkeypatch):
     assert max(seen) <= len(kinds)
 
 
+def test_strong_pairs_are_sent_as_lists_and_come_out_in_order(spark, monkeypatch):
+    """Many equal units: tasks are sent fewer rows than there are pairs, and each |r| may fill several tasks."""
+    rng = np.random.default_rng(9)
+    kinds = rng.integers(0, 4, (9, 4))
+    kinds[1], kinds[2] = 3 * kinds[0], 5 - kinds[0]
+    kinds = [*kinds, *rng.integers(0, 9, (12, 4))]
+    names = rng.permutation([f"{k:04d}" for k in range(1_000)])
+    counts = [kind for k, kind in enumerate(kinds) for _ in range(30 if k < 9 else 1)]
+    df = incidents(spark, {str(u): {2018 + y: int(v) for y, v in enumerate(kind)} for u, kind in zip(names, counts)})
+    years = range(2018, 2022)
+    full = [tuple(r) for r in places.corr_matrix(df, years=years, digits=9).collect() if r.r is not None and abs(r.r) >= 0.8]
+    full.sort(key=lambda r: (-abs(r[2]), r[0], r[1]))
+    assert len(full) > 2_000
+    sent = []
+    deal = type(df).repartitionById
+    monkeypatch.setattr(type(df), "repartitionById", lambda rows, *a: sent.append(rows.count()) or deal(rows, *a))
+    for per_block, per_task, most in ((512, 2_000_000, 256), (7, 300, 256), (512, 50, 5)):
+        monkeypatch.setattr(places, "MOST_TASKS", most)
+        found = places.strong_pairs(df, 0.8, years=years, units_per_block=per_block, pairs_per_task=per_task)
+        assert [tuple(r) for r in found.collect()] == full
+        assert found.rdd.getNumPartitions() == min(-(-len(full) // per_task), -(-len(full) // -(-len(full) // most)))
+    assert sent[0] < 0.05 * len(full) and sent[2] < 0.5 * len(full)
+
+
 def test_empty_keys_are_no_hotspot_and_one_year_has_no_correlation(spark):
     rows = [(i, "" if i % 2 else "a", f"011{i % 3}", f"2020-0{1 + i % 9}-01 00:00:00") for i in range(20)]
     df = spark.createDataFrame(rows, "id bigint, block string, unit string, ts string").withColumn("ts", F.to_timestamp("ts"))
