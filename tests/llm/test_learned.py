@@ -1,5 +1,6 @@
 """Co-training, language ID and the attention model: held-out results and odd rows."""
 
+import dataclasses
 import math
 import random
 import re
@@ -229,6 +230,40 @@ def test_places_only_looked_back_on_are_not_scored(model, monkeypatch):
     assert A.score(model, lines) == pytest.approx(whole, rel=1e-6, abs=1e-6)
 
 
+def test_attention_is_whole_however_large_its_scores(model):
+    """Scores beyond the range of 32-bit exponents keep their differences, in learning and in scoring."""
+    rng = np.random.default_rng(9)
+    ids = rng.integers(0, A.CLASSES, (48, A.WINDOW))
+    later = np.triu(np.ones((A.WINDOW, A.WINDOW), bool), 1)
+    for scale in (1, 40, 100):
+        w = A.start_weights(seed=1)
+        w["e"] *= scale
+        w["p"] *= scale
+        full = {k: v.astype(float) for k, v in w.items()}
+        d = w["e"].shape[1]
+        x = full["e"][ids] + full["p"]
+        q, k, v = np.split(x @ full["qkv"], 3, axis=2)
+        s = q @ k.transpose(0, 2, 1) * d**-0.5
+        s[:, later] = -np.inf
+        assert scale == 1 or s.max() > A.PEAK
+        assert scale < 100 or s.max(axis=2).min() < -110
+        a = np.exp(s - s.max(axis=2, keepdims=True))
+        a /= a.sum(axis=2, keepdims=True)
+        y = np.maximum(a @ v @ full["o"] + x @ full["x"], 0).reshape(-1, d)
+        found = A._hidden(w, ids)
+        assert np.allclose(found["a"], a, atol=2e-3) and np.allclose(found["y"], y, atol=2e-3 * y.max())
+        # Classes score by ``y`` alone: what scoring looks up by place gives the same.
+        u = rng.normal(0, 1e-3, w["u"].shape).astype(np.float32)
+        learned = dataclasses.replace(model, weights=w | {"u": u})
+        inputs = rng.integers(0, A.VOCABULARY, (5, A.WINDOW))
+        targets = rng.integers(0, A.VOCABULARY, (5, A.WINDOW))
+        logits = A.forward(learned.weights, model.pairs, inputs, model.class_of[inputs])["logits"].astype(float)
+        shares = logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        own = np.take_along_axis(shares, model.class_of[targets].reshape(-1, 1), 1).reshape(targets.shape)
+        for skip in (0, A.CONTEXT):
+            assert np.allclose(A.class_shares(learned, inputs, targets, skip), own[:, skip:], atol=1e-3)
+
+
 def test_exponents_are_cut():
     rng = np.random.default_rng(7)
     y, u = rng.normal(0, 1, (6, 4)).astype(np.float32), rng.normal(0, 1, (4, 9)).astype(np.float32)
